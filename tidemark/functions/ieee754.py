@@ -1,13 +1,13 @@
 """IEEE-754 bit patterns as built-in expressions.
 
 Spark has no function that reinterprets a float's bits, but scaling by powers of two is
-exact in double arithmetic, so the pattern can be composed and taken apart with
-arithmetic only and stays inside generated code.
+exact in double arithmetic, so a float in a key can be turned into its bytes with
+arithmetic only, inside generated code.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the two formats: mantissa bits, exponent bias, largest exponent field.
@@ -18,28 +18,6 @@ def _pow2(exponent: Column) -> Column:
     return F.pow(F.lit(2.0), exponent.cast("double"))
 
 
-def from_bits(bits: Column, kind: str) -> Column:
-    """The float or double whose (signed, 64-bit) pattern is ``bits``."""
-    mantissa_bits, bias, top = FORMATS[kind]
-    sign_bit = 31 if kind == "float" else 63
-    exponent = F.shiftright(bits, mantissa_bits).bitwiseAND(F.lit(top).cast("bigint"))
-    mantissa = bits.bitwiseAND(F.lit((1 << mantissa_bits) - 1).cast("bigint"))
-    sign = F.when(
-        F.shiftright(bits, sign_bit).bitwiseAND(F.lit(1).cast("bigint")) == 1, F.lit(-1.0)
-    ).otherwise(F.lit(1.0))
-    normal = (mantissa + F.lit(1 << mantissa_bits)).cast("double") * _pow2(
-        exponent - F.lit(bias + mantissa_bits)
-    )
-    subnormal = mantissa.cast("double") * F.lit(2.0 ** (1 - bias - mantissa_bits))
-    value = (
-        F.when((exponent == top) & (mantissa == 0), sign * F.lit(float("inf")))
-        .when(exponent == top, F.lit(float("nan")))
-        .when(exponent == 0, sign * subnormal)
-        .otherwise(sign * normal)
-    )
-    return F.when(bits.isNotNull(), value).cast(kind)
-
-
 def _guess(value: Column) -> Column:
     """floor(log2 |value|), possibly one off next to a power of two."""
     return F.floor(F.log2(F.abs(value.cast("double"))))
@@ -87,32 +65,7 @@ def _finite(value: Column) -> Column:
 
 
 def to_bits(value: Column, kind: str) -> Column:
-    """The pattern of a float or double as a bigint (NaN gives the canonical one).
-
-    One expression, for the odd float in a key; :func:`with_bits` is cheaper for many.
-    """
+    """The pattern of a float or double as a bigint (NaN gives the canonical one)."""
     finite = _finite(value)
     exponent = _exponent(finite, _guess(finite), kind)
     return _pattern(value, exponent, _significand(finite, exponent, kind), kind)
-
-
-def with_bits(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """Add ``__bits_<column>`` for float and double columns.
-
-    Each step is a projection of its own, so that every intermediate is computed once.
-    """
-    if not kinds:
-        return df
-
-    def add(frame: DataFrame, prefix: str, make) -> DataFrame:
-        return frame.select("*", *[make(c, kind).alias(f"{prefix}{c}") for c, kind in kinds.items()])
-
-    steps = add(df, "__fin_", lambda c, kind: _finite(F.col(c)))
-    steps = add(steps, "__log_", lambda c, kind: _guess(F.col(f"__fin_{c}")))
-    steps = add(steps, "__exp_", lambda c, kind: _exponent(F.col(f"__fin_{c}"), F.col(f"__log_{c}"), kind))
-    steps = add(steps, "__sig_", lambda c, kind: _significand(F.col(f"__fin_{c}"), F.col(f"__exp_{c}"), kind))
-    patterns = [
-        _pattern(F.col(c), F.col(f"__exp_{c}"), F.col(f"__sig_{c}"), kind).alias(f"__bits_{c}")
-        for c, kind in kinds.items()
-    ]
-    return steps.select(*df.columns, *patterns)

@@ -1,4 +1,4 @@
-"""Fixed-width big-endian encodings, both ways, as built-in expressions."""
+"""Canonical bytes of key values, as built-in expressions."""
 
 from __future__ import annotations
 
@@ -19,15 +19,6 @@ def big_endian(value: Column, width: int) -> Column:
     return F.unhex(F.substring(digits, 17 - 2 * width, 2 * width))
 
 
-def from_big_endian(raw: Column, width: int) -> Column:
-    """Signed bigint held in the first ``width`` bytes."""
-    unsigned = F.conv(F.hex(F.substring(raw, 1, width)), 16, -10).cast("bigint")
-    if width == 8:
-        return unsigned
-    span = 1 << (8 * width)
-    return F.when(unsigned >= span // 2, unsigned - F.lit(span)).otherwise(unsigned)
-
-
 def ntz_micros(value: Column) -> Column:
     """Epoch microseconds of a zone-less timestamp, independent of the session zone."""
     seconds = F.hour(value) * 3600 + F.minute(value) * 60
@@ -35,13 +26,6 @@ def ntz_micros(value: Column) -> Column:
     return F.unix_date(value.cast("date")) * F.lit(MICROS_PER_DAY) + seconds * F.lit(1_000_000) + fraction
 
 
-def micros_ntz(micros: Column) -> Column:
-    """Inverse of :func:`ntz_micros`."""
-    seconds = (micros.cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
-
-
 def _decimal_bytes(value: Column, kind: T.DecimalType) -> Column:
     if kind.precision <= SHORT_DECIMAL_PRECISION:
         unscaled = value.cast(f"decimal(18,{kind.scale})") * F.lit(10**kind.scale).cast("decimal(19,0)")

@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import ieee754
+from tidemark.functions import wire
 from tidemark.functions.buckets import with_bucket
-from tidemark.functions.keybytes import big_endian, from_big_endian, micros_ntz, ntz_micros
 from tidemark.names import COLLECTION_ORDER, DELETE, INSERT_OPS, META, OP, TOTAL_ORDER, TXN_ID, UPDATE
 
 
@@ -55,91 +54,20 @@ def flatten_changes(
     return with_bucket(flat, keys, buckets, bucket_fn) if buckets > 0 else flat
 
 
-# Bytes of the fixed-width wire forms.
-WIDTHS = {
-    T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
-    T.LongType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DoubleType: 8,
-}
-
-
-def _raw_value(raw: Column, kind: T.DataType) -> Column:
-    """First step of decoding: the integer of a fixed-width form, else the value itself."""
-    if type(kind) in WIDTHS:
-        value = from_big_endian(raw, WIDTHS[type(kind)])
-    elif isinstance(kind, T.StringType):
-        value = F.decode(raw, "UTF-8")
-    elif isinstance(kind, T.BinaryType):
-        value = raw
-    elif isinstance(kind, T.BooleanType):
-        value = F.lower(F.decode(raw, "UTF-8")) == "true"
-    elif isinstance(kind, T.DecimalType):
-        value = F.decode(raw, "UTF-8").cast(kind)
-    else:
-        raise TypeError(f"no wire form for type {kind.simpleString()}")
-    return F.when(F.octet_length(raw) > 0, value)
-
-
-def _typed_value(value: Column, kind: T.DataType) -> Column:
-    """Second step: the integer of a fixed-width form as a value of its type."""
-    if isinstance(kind, T.IntegerType):
-        return value.cast("int")
-    if isinstance(kind, T.DateType):
-        return F.date_from_unix_date(value.cast("int"))
-    if isinstance(kind, T.TimestampType):
-        return F.timestamp_micros(value)
-    if isinstance(kind, T.TimestampNTZType):
-        return micros_ntz(value)
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return ieee754.from_bits(value, kind.typeName())
-    return value
-
-
-def decode_value(raw: Column, kind: T.DataType) -> Column:
-    """One encoded value by type. Empty bytes are NULL for every type."""
-    return _typed_value(_raw_value(raw, kind), kind)
-
-
-def decode_image(df: DataFrame, image: str, schema: T.StructType, keep: Sequence[Column] = ()) -> DataFrame:
-    """The values of an image column as columns, then the kept ones. Missing trailing values are NULL.
-
-    Two projections, so that no value's bytes are read more than once.
+def decode_image(df: DataFrame, image: str, schema: T.StructType) -> DataFrame:
+    """Replace an image column by the columns it encodes.
+
+    Empty bytes are NULL for every type, and so are missing trailing values.
     """
-    raw = [
-        _raw_value(F.try_element_at(image, F.lit(position + 1)), f.dataType).alias(f.name)
-        for position, f in enumerate(schema.fields)
-    ]
-    first = df.select(*raw, *keep)
-    kept = first.columns[len(raw):]
-    return first.select(*[_typed_value(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields], *kept)
+    kept = [f for f in df.schema.fields if f.name != image]
+    output = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields] + kept)
+    return df.mapInArrow(wire.decoder(image, schema, output), output)
 
 
 def encode_image(df: DataFrame, schema: T.StructType, name: str = "image") -> DataFrame:
-    """Add the array of encoded values of the columns of ``schema``; NULL becomes empty bytes."""
-    floats = {f.name: f.dataType.typeName() for f in schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    steps = ieee754.with_bits(df, floats)
-    values = []
-    for f in schema.fields:
-        value, kind = F.col(f.name), f.dataType
-        if f.name in floats:
-            raw = big_endian(F.col(f"__bits_{f.name}"), WIDTHS[type(kind)])
-        elif isinstance(kind, T.StringType):
-            raw = F.encode(value, "UTF-8")
-        elif isinstance(kind, T.BinaryType):
-            raw = value
-        elif isinstance(kind, (T.IntegerType, T.LongType)):
-            raw = big_endian(value, WIDTHS[type(kind)])
-        elif isinstance(kind, T.DateType):
-            raw = big_endian(F.unix_date(value), 4)
-        elif isinstance(kind, T.TimestampType):
-            raw = big_endian(F.unix_micros(value), 8)
-        elif isinstance(kind, T.TimestampNTZType):
-            raw = big_endian(ntz_micros(value), 8)
-        elif isinstance(kind, (T.BooleanType, T.DecimalType)):
-            raw = F.encode(value.cast("string"), "UTF-8")
-        else:
-            raise TypeError(f"no wire form for type {kind.simpleString()}")
-        values.append(F.coalesce(raw, F.lit(b"")))
-    return steps.select(*df.columns, F.array(*values).alias(name))
+    """Add the image of the columns of ``schema``; NULL becomes empty bytes."""
+    output = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.BinaryType()))])
+    return df.mapInArrow(wire.encoder(schema, output, name), output)
 
 
 def decode_changes(
@@ -150,7 +78,7 @@ def decode_changes(
     bucket_fn: str = "xxhash64",
 ) -> DataFrame:
     """Encoded records to flat rows."""
-    flat = decode_image(select_image(records), "image", schema, _metadata())
+    flat = decode_image(select_image(records).select("image", *_metadata()), "image", schema)
     return with_bucket(flat, keys, buckets, bucket_fn) if buckets > 0 else flat
 
 

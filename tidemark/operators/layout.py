@@ -60,39 +60,28 @@ def _ordinal(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
-def with_ranks(df: DataFrame, bounds: dict[str, list], bits: int) -> DataFrame:
-    """Add ``__r_<column>``: how many cut points are at or below the value, NULL lowest.
+def rank_column(df: DataFrame, column: str, bounds: list, bits: int) -> Column:
+    """How many cut points are at or below the value (NULL lowest): a binary search of ``bits`` steps."""
+    if not bounds:
+        return F.lit(0)
+    value, cuts = _ordinal(df, column), F.lit(bounds)
+    steps = F.lit([1 << bit for bit in range(bits - 1, -1, -1)])
 
-    A binary search over a literal array, one projection per bit, so it runs in generated
-    code with ``bits`` comparisons per value.
-    """
-    names = list(bounds)
-    df = df.select(
-        "*",
-        *[_ordinal(df, c).alias(f"__o_{c}") for c in names],
-        *[F.lit(0).alias(f"__r_{c}") for c in names],
-    )
-    plain = [c for c in df.columns if not c.startswith("__r_")]
-    for bit in range(bits - 1, -1, -1):
-        step = 1 << bit
-        ranks = []
-        for c in names:
-            rank = F.col(f"__r_{c}")
-            if len(bounds[c]) >= step:
-                cut = F.try_element_at(F.lit(bounds[c]), rank + step)
-                rank = F.when(F.col(f"__o_{c}") >= cut, rank + step).otherwise(rank)
-            ranks.append(rank.alias(f"__r_{c}"))
-        df = df.select(*plain, *ranks)
-    return df.drop(*[f"__o_{c}" for c in names])
+    def narrow(rank: Column, step: Column) -> Column:
+        return F.when(value >= F.try_element_at(cuts, rank + step), rank + step).otherwise(rank)
+
+    return F.aggregate(steps, F.lit(0), narrow)
 
 
 def with_zvalue(df: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame:
     """Add the Z-value of the columns' quantile ranks as ``__z``."""
     columns = parse_columns(columns)
     bits = min(bits, 63 // len(columns))
-    ranked = with_ranks(df, quantile_bounds(df, columns, bits), bits)
-    z = interleave([F.col(f"__r_{c}") for c in columns], bits)
-    return ranked.withColumn(_Z, z).drop(*[f"__r_{c}" for c in columns])
+    bounds = quantile_bounds(df, columns, bits)
+    # Ranks in a projection of their own: the interleaving reads each of them many times.
+    ranks = [f"__r_{c}" for c in columns]
+    ranked = df.select("*", *[rank_column(df, c, bounds[c], bits).alias(r) for c, r in zip(columns, ranks)])
+    return ranked.withColumn(_Z, interleave([F.col(r) for r in ranks], bits)).drop(*ranks)
 
 
 def _overwrite(rows: DataFrame, path: str) -> None:
