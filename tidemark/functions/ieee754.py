@@ -2,11 +2,13 @@
 
 Spark has no function that reinterprets a float's bits, but scaling by powers of two is
 exact in double arithmetic, so a float in a key can be turned into its bytes with
-arithmetic only, inside generated code.
+arithmetic only and without Python.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,8 +66,18 @@ def _finite(value: Column) -> Column:
     return F.when(special, F.lit(1.0)).otherwise(wide)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def to_bits(value: Column, kind: str) -> Column:
     """The pattern of a float or double as a bigint (NaN gives the canonical one)."""
-    finite = _finite(value)
-    exponent = _exponent(finite, _guess(finite), kind)
-    return _pattern(value, exponent, _significand(finite, exponent, kind), kind)
+
+    def scaled(finite: Column) -> Column:
+        def with_exponent(exponent: Column) -> Column:
+            return _let(_significand(finite, exponent, kind), lambda s: _pattern(value, exponent, s, kind))
+
+        return _let(_guess(finite), lambda guess: _let(_exponent(finite, guess, kind), with_exponent))
+
+    return _let(_finite(value), scaled)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,10 +36,10 @@ def _decimal_bytes(value: Column, kind: T.DecimalType) -> Column:
     # unsigned low word. The digits are taken as text because scale + precision may exceed 38.
     digits = F.regexp_replace(value.cast(kind.simpleString()).cast("string"), r"\.", "")
     unscaled = digits.cast("decimal(38,0)")
-    word = F.lit(1 << 64).cast("decimal(20,0)")
+    word = F.lit(Decimal(1 << 64)).cast("decimal(20,0)")
     low = F.pmod(unscaled, word).cast("decimal(20,0)")
     high = ((unscaled - low) / word).cast("decimal(20,0)").cast("bigint")
-    signed_low = F.when(low >= F.lit(1 << 63).cast("decimal(20,0)"), low - word).otherwise(low)
+    signed_low = F.when(low >= F.lit(Decimal(1 << 63)).cast("decimal(20,0)"), low - word).otherwise(low)
     return F.concat(big_endian(high, 8), big_endian(signed_low.cast("decimal(20,0)").cast("bigint"), 8))
 
 
