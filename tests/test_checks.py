@@ -66,13 +66,14 @@ def test_rates(spark):
     assert rows(none.select("rx_mbps").distinct()) == [(0.0,)]
 
 
-def test_previous_sample_across_chunks_equals_lag(spark):
+@pytest.mark.parametrize("chunk_rows", [1, 50, 10**9])
+def test_previous_sample_across_chunks_equals_lag(spark, chunk_rows):
     """One host has most of the samples; gaps span several chunks."""
     made = spark.range(600).selectExpr(
         "if(id % 3 = 0, cast(id % 5 as string), 'hot') host",
         "timestamp_seconds(id * id * 37) ts", "id * 11 c",
     )
-    got = metrics.with_previous(made, ["host"], "ts", ["c"])
+    got = metrics.with_previous(made, ["host"], "ts", ["c"], chunk_rows)
     plain = made.selectExpr(
         "*", "lag(ts) over (partition by host order by ts) prev_ts", "lag(c) over (partition by host order by ts) prev_c"
     )

@@ -170,6 +170,9 @@ def test_key_bytes_by_type(spark):
         assert bytes(df.select(key_bytes(df, [name])).first()[0]) == value, name
     micros_of_t = df.select(F.unix_micros("t")).first()[0]
     assert bytes(df.select(key_bytes(df, ["t"])).first()[0]) == struct.pack(">q", micros_of_t)
+    for moment in (datetime(1969, 12, 31, 23, 59, 59, 500000), datetime(2024, 5, 6, 17, 8, 9, 123456)):
+        ntz = spark.createDataFrame([(moment,)], "n timestamp_ntz")
+        assert bytes(ntz.select(key_bytes(ntz, ["n"])).first()[0]) == struct.pack(">q", micros(moment))
     assert bytes(df.select(key_bytes(df, ["s", "i"])).first()[0]) == want["s"] + want["i"]
 
 

@@ -224,6 +224,23 @@ def test_state_schema_evolves(spark, folder):
         state.ensure_state(spark, StateTable(f"{folder}/none", ("k",)), wider, auto_create=False)
 
 
+def test_evolved_columns_survive_log_and_layout(spark, folder):
+    table = small(spark, folder)
+    state.append_changes(spark, table, changes(spark, (1, "plain", "UPDATE", 1)), 0)
+    wider = changes(spark, (2, "wide", "UPDATE", 1)).withColumn("extra", F.lit(7))
+    state.ensure_state(spark, table, wider)
+    state.append_changes(spark, table, wider, 1)
+    want = [(1, "plain", None), (2, "wide", 7)]
+    picked = F.col("k").isin(1, 2)
+    assert rows(state.read_state(spark, table).where(picked), "k", "v", "extra") == want
+    state.fold_log(spark, table)
+    state.compact_state(spark, table)
+    state.zorder_state(spark, table, "k,extra")
+    assert rows(state.read_state(spark, table, "base").where(picked), "k", "v", "extra") == want
+    layout.compact(spark, table.base_path)
+    assert rows(state.read_state(spark, table, "base").where(picked), "k", "v", "extra") == want
+
+
 def test_bucket_choice_prunes_partitions(spark, folder):
     table = small(spark, folder)
     plan = state.read_state(spark, table, buckets="1-2")._jdf.queryExecution().executedPlan().toString()

@@ -69,6 +69,19 @@ def test_stream_resumes_and_replays(spark, folder, sink):
     assert rows(state.read_state(spark, table), "k", "v") == [(1, "z"), (3, "c")]
 
 
+def test_new_checkpoint_after_folding_loses_nothing(spark, folder):
+    """Batch numbers of a new checkpoint start again; they must not hide behind folded ones."""
+    table, log = StateTable(f"{folder}/t", ("k",), 4), f"{folder}/log"
+    write_changes(changes(spark, (1, "a", "INSERT", 1)), log, ["k"], 4)
+    run.run_changes(spark, log, BUSINESS, table, options(folder)).awaitTermination()
+    assert state.fold_log(spark, table) == 0
+    write_changes(changes(spark, (1, "b", "UPDATE", 2), (2, "n", "INSERT", 1)), log, ["k"], 4)
+    for _ in range(2):
+        run.run_changes(spark, log, BUSINESS, table, options(folder, checkpoint=f"{folder}/new")).awaitTermination()
+        assert rows(state.read_state(spark, table), "k", "v") == [(1, "b"), (2, "n")]
+    assert state.next_batch_id(spark, table) == 2
+
+
 def test_noop_buckets_and_bucket_choice(spark, folder):
     log = f"{folder}/log"
     write_changes(changes(spark, *[(k, "v", "INSERT", k) for k in range(40)]), log, ["k"], 4)

@@ -23,7 +23,7 @@ def big_endian(value: Column, width: int) -> Column:
 
 def ntz_micros(value: Column) -> Column:
     """Epoch microseconds of a zone-less timestamp, independent of the session zone."""
-    seconds = F.hour(value) * 3600 + F.minute(value) * 60
+    seconds = (F.hour(value) * 3600 + F.minute(value) * 60).cast("bigint")
     fraction = (F.date_part(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
     return F.unix_date(value.cast("date")) * F.lit(MICROS_PER_DAY) + seconds * F.lit(1_000_000) + fraction
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.names import BUCKET
@@ -39,16 +39,20 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     ).withColumn("is_unique", F.col("row_count") == F.col("distinct_pk_count"))
 
 
-def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if a key occurs more than once."""
-    found = check_keys(df, keys).first()
-    if not found["is_unique"]:
+def require_unique(report: Row, keys: Sequence[str]) -> None:
+    """Raise if a :func:`check_keys` row found a key more than once."""
+    if not report["is_unique"]:
         raise ValueError(
-            f"key ({', '.join(keys)}) is not unique: {found['row_count']} rows, "
-            f"{found['distinct_pk_count']} distinct keys"
+            f"key ({', '.join(keys)}) is not unique: {report['row_count']} rows, "
+            f"{report['distinct_pk_count']} distinct keys"
         )
 
 
+def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key occurs more than once."""
+    require_unique(check_keys(df, keys).first(), keys)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys held by more than one row, with the number of rows."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)

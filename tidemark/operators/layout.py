@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.buckets import rebalance_by_bucket, select_buckets
-from tidemark.functions.keybytes import ntz_micros
+from tidemark.functions.quantiles import cut_points, rank_column
 from tidemark.functions.zorder import interleave
 from tidemark.names import BUCKET
 
@@ -30,60 +31,23 @@ def parse_columns(text: str | Sequence[str]) -> list[str]:
     return columns
 
 
-def quantile_bounds(df: DataFrame, columns: Sequence[str], bits: int, accuracy: int = 10_000) -> dict[str, list]:
-    """Up to ``2**bits - 1`` cut points per column, from one pass of mergeable sketches.
-
-    The result has a fixed size, whatever the table holds.
-    """
-    steps = 1 << bits
-    fractions = [i / steps for i in range(1, steps)]
-    row = df.agg(
-        *[F.percentile_approx(_ordinal(df, c), fractions, accuracy).alias(f"q{i}") for i, c in enumerate(columns)]
-    ).first()
-    return {c: sorted(set(row[f"q{i}"] or [])) for i, c in enumerate(columns)}
-
-
-def _ordinal(df: DataFrame, column: str) -> Column:
-    """A number that sorts like the column (text by its first eight bytes)."""
-    kind = df.schema[column].dataType.typeName()
-    if kind == "string":
-        digits = F.rpad(F.substring(F.hex(F.encode(F.col(column), "UTF-8")), 1, 14), 14, "0")
-        return F.conv(digits, 16, 10).cast("bigint")
-    if kind == "timestamp":
-        return F.unix_micros(F.col(column))
-    if kind == "timestamp_ntz":
-        return ntz_micros(F.col(column))
-    if kind == "date":
-        return F.unix_date(F.col(column)).cast("bigint")
-    if kind == "boolean":
-        return F.col(column).cast("int").cast("bigint")
-    return F.col(column)
-
-
-def rank_column(df: DataFrame, column: str, bounds: list, bits: int) -> Column:
-    """How many cut points are at or below the value (NULL lowest): a binary search of ``bits`` steps."""
-    if not bounds:
-        return F.lit(0)
-    value, cuts = _ordinal(df, column), F.lit(bounds)
-    steps = F.lit([1 << bit for bit in range(bits - 1, -1, -1)])
-
-    def narrow(rank: Column, step: Column) -> Column:
-        return F.when(value >= F.try_element_at(cuts, rank + step), rank + step).otherwise(rank)
-
-    return F.aggregate(steps, F.lit(0), narrow)
-
-
 def with_zvalue(df: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame:
     """Add the Z-value of the columns' quantile ranks as ``__z``."""
     columns = parse_columns(columns)
     bits = min(bits, 63 // len(columns))
-    bounds = quantile_bounds(df, columns, bits)
+    _, cuts = cut_points(df, columns, 1 << bits)
     # Ranks in a projection of their own: the interleaving reads each of them many times.
     ranks = [f"__r_{c}" for c in columns]
-    ranked = df.select("*", *[rank_column(df, c, bounds[c], bits).alias(r) for c, r in zip(columns, ranks)])
+    ranked = df.select("*", *[rank_column(df, c, cuts[c]).alias(r) for c, r in zip(columns, ranks)])
     return ranked.withColumn(_Z, interleave([F.col(r) for r in ranks], bits)).drop(*ranks)
 
 
+def _stored(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+    """A table by path. Without a schema the files' schemas are merged: they may differ after an evolution."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+    return reader.parquet(path)
+
+
 def _overwrite(rows: DataFrame, path: str) -> None:
     (
         rows.write.mode("overwrite")
@@ -93,13 +57,18 @@ def _overwrite(rows: DataFrame, path: str) -> None:
     )
 
 
-def compact(spark: SparkSession, path: str, buckets: Sequence[int] | str | None = None) -> None:
+def compact(
+    spark: SparkSession,
+    path: str,
+    buckets: Sequence[int] | str | None = None,
+    schema: T.StructType | None = None,
+) -> None:
     """Rewrite buckets with files near the advisory size; rows stay the same.
 
     Target size: ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. Small buckets get one
     file, large ones several, with no bucket tied to a single task.
     """
-    _overwrite(rebalance_by_bucket(select_buckets(spark.read.parquet(path), buckets)), path)
+    _overwrite(rebalance_by_bucket(select_buckets(_stored(spark, path, schema), buckets)), path)
 
 
 def zorder(
@@ -110,6 +79,7 @@ def zorder(
     bits: int = 8,
     files: int | None = None,
     compact_first: bool = False,
+    schema: T.StructType | None = None,
 ) -> None:
     """Rewrite buckets so that rows close in ``columns`` share files.
 
@@ -118,17 +88,19 @@ def zorder(
     """
     columns = parse_columns(columns)
     if compact_first:
-        compact(spark, path, buckets)
-    stored = select_buckets(spark.read.parquet(path), buckets)
+        compact(spark, path, buckets, schema)
+    stored = select_buckets(_stored(spark, path, schema), buckets)
     keyed = with_zvalue(stored, columns, bits).withColumn(_TIE, F.monotonically_increasing_id())
     order = [BUCKET, _Z, _TIE]
     ranged = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
     _overwrite(ranged.sortWithinPartitions(*order).drop(_Z, _TIE), path)
 
 
-def layout_stats(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
+def layout_stats(
+    spark: SparkSession, path: str, columns: Sequence[str] = (), schema: T.StructType | None = None
+) -> DataFrame:
     """One row per data file: bucket, bytes, rows, and the value range of some columns."""
-    files = spark.read.parquet(path).select(
+    files = _stored(spark, path, schema).select(
         "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_bytes")
     )
     by = [BUCKET] if BUCKET in files.columns else []

@@ -397,9 +397,13 @@ def upsert_ordered(
         if not partition_cols:
             raise ValueError("key_scope 'partition' needs partition_cols")
         keys = list(dict.fromkeys((*partition_cols, *keys)))
-    latest = drop_stale(fold_latest(batch, keys, [guard_col]), state, keys, guard_col)
-    kept = _without(state, latest, keys, null_safe=True)
-    return kept.unionByName(align_to_target(latest, state.schema))
+    return replace_older(state, fold_latest(batch, keys, [guard_col]), keys, guard_col)
+
+
+def replace_older(state: DataFrame, latest: DataFrame, keys: Sequence[str], guard_col: str) -> DataFrame:
+    """:func:`upsert_ordered` for a batch that already has one row per key."""
+    newer = drop_stale(latest, state, keys, guard_col)
+    return _without(state, newer, keys, null_safe=True).unionByName(align_to_target(newer, state.schema))
 
 
 def route_buckets(changes: DataFrame, noop_buckets: str | Sequence[int]) -> tuple[DataFrame, DataFrame]:

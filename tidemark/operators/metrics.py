@@ -7,25 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.quantiles import cut_points, rank_column
+
 BITS_PER_BYTE = 8
 SECTOR_BYTES = 512
+# Rows a time range aims at, and the most ranges time is cut into.
+CHUNK_ROWS = 5_000_000
+MAX_CHUNKS = 4096
 
 
 def with_previous(
-    samples: DataFrame, by: Sequence[str], ts: str, columns: Sequence[str], chunk: str = "day"
+    samples: DataFrame,
+    by: Sequence[str],
+    ts: str,
+    columns: Sequence[str],
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add ``prev_<column>`` and ``prev_<ts>`` of the preceding sample of the same group.
 
-    A group may hold much of the table, so it is not windowed as a whole: ``lag`` runs per
-    group and time chunk, and the first sample of a chunk takes its predecessor from a
-    window over one row per chunk.
+    A group may hold much of the table, so it is not windowed as a whole. Time is cut into
+    ranges of about ``chunk_rows`` samples (of all groups); ``lag`` runs per group and
+    range, and the first sample of a range takes its predecessor from a window over one row
+    per group and range. The cut points cost one pass over ``ts`` when this is called.
     """
     carried = [ts, *columns]
-    chunked = samples.withColumn("__chunk", F.date_trunc(chunk, F.col(ts)))
+    total, cuts = cut_points(samples, [ts], MAX_CHUNKS)
+    chunks = max(1, min(MAX_CHUNKS, -(-total // chunk_rows)))
+    every = max(1, MAX_CHUNKS // chunks)
+    chunked = samples.withColumn("__chunk", rank_column(samples, ts, cuts[ts][every - 1 :: every] if chunks > 1 else []))
     inside = Window.partitionBy(*by, "__chunk").orderBy(ts)
     lagged = chunked.select(
         "*", *[F.lag(c).over(inside).alias(f"__in_{c}") for c in carried], F.row_number().over(inside).alias("__rn")
     )
+    if chunks == 1:
+        return lagged.select(*samples.columns, *[F.col(f"__in_{c}").alias(f"prev_{c}") for c in carried])
     lasts = chunked.groupBy(*by, "__chunk").agg(F.max_by(F.struct(*carried), F.col(ts)).alias("__last"))
     across = Window.partitionBy(*by).orderBy("__chunk")
     before = lasts.select(*by, "__chunk", F.lag("__last").over(across).alias("__before"))
@@ -57,7 +72,7 @@ def counter_rates(
     byte_counters: Sequence[str] = (),
     sector_counters: Sequence[str] = (),
     interval_seconds: float | None = None,
-    chunk: str = "day",
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Megabits per second between consecutive samples as ``<counter>_mbps``.
 
@@ -65,7 +80,7 @@ def counter_rates(
     is the time between the samples unless one is given.
     """
     counters = [*byte_counters, *sector_counters]
-    previous = with_previous(samples, by, ts, counters, chunk)
+    previous = with_previous(samples, by, ts, counters, chunk_rows)
     if interval_seconds is not None:
         interval = F.lit(float(interval_seconds))
     else:

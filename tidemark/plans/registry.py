@@ -684,7 +684,7 @@ def _(spark, sf_dir):
     table = _new_table(spark, "catalog")
     stored.create_state(spark, load(spark, sf_dir, "orders"), table)
     name = "tidemark_" + table.path.rsplit("-", 1)[-1]
-    registered = register_table(spark, name, table.base_path)
+    registered = register_table(spark, name, table.base_path, schema=stored.base_schema(spark, table))
     return registered.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -705,7 +705,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     table = _new_table(spark, "compact")
     stored.create_state(spark, load(spark, sf_dir, "orders"), table)
-    layout.compact(spark, table.base_path)
+    stored.compact_state(spark, table)
     return stored.read_state(spark, table, "base").drop(BUCKET)
 
 
@@ -713,7 +713,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     table = _new_table(spark, "zorder", ["l_orderkey"])
     stored.create_state(spark, load(spark, sf_dir, "lineitem"), table)
-    layout.zorder(spark, table.base_path, "l_partkey,l_suppkey,l_shipdate")
+    stored.zorder_state(spark, table, "l_partkey,l_suppkey,l_shipdate")
     return stored.read_state(spark, table, "base").drop(BUCKET)
 
 
@@ -904,7 +904,7 @@ from d""",
 )
 def _(spark, sf_dir):
     samples = spark.sql(SAMPLES_SQL.replace("from events", "from {events}"), events=load(spark, sf_dir, "events"))
-    return metrics.counter_rates(samples, ["user_id"], "ts", ["rx_bytes"], ["read_sectors"])
+    return metrics.counter_rates(samples, ["user_id"], "ts", ["rx_bytes"], ["read_sectors"], chunk_rows=2000)
 
 
 @checked("latest_status", ranked("events", "event_type", desc("ts", "event_id")))

@@ -213,9 +213,12 @@ def target_schema(
     return T.StructType(fields)
 
 
-def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = True) -> DataFrame:
+def register_table(
+    spark: SparkSession, name: str, path: str, partitioned: bool = True, schema: T.StructType | None = None
+) -> DataFrame:
     """Make the Parquet data at ``path`` a catalog table and return it."""
-    schema = spark.read.parquet(path).schema
+    if schema is None:
+        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
     columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
     clause = f"PARTITIONED BY ({quote(BUCKET)})" if partitioned and BUCKET in schema.fieldNames() else ""
     location = path.replace("'", "\\'")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import rebalance_by_bucket, with_bucket
 from tidemark.names import BUCKET
-from tidemark.operators.merge import upsert_ordered
-from tidemark.sources.catalog import TableDef, require, list_tables
+from tidemark.operators.fold import fold_latest
+from tidemark.operators.merge import replace_older
+from tidemark.sources.catalog import TableDef, list_tables, require
 from tidemark.sources.state import StateTable, declare_schema, path_exists, read_state, replace_buckets
 
 IMPORT_MODES = ("overwrite", "append", "upsert", "skip")
@@ -61,10 +63,13 @@ def import_table(
     if mode != "upsert" or not exists:
         _load(spark, rows, target, "append" if mode == "append" else "overwrite", max_records_per_file)
         return target
-    touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
-    state = read_state(spark, target, view="base", buckets=touched)
-    merged = upsert_ordered(state, rows, table.keys, table.precombine)
-    replace_buckets(spark, target, merged, touched)
+    latest = fold_latest(rows, table.keys, [table.precombine]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = sorted(r[0] for r in latest.select(BUCKET).distinct().collect())
+        state = read_state(spark, target, view="base", buckets=touched)
+        replace_buckets(spark, target, replace_older(state, latest, table.keys, table.precombine), touched)
+    finally:
+        latest.unpersist()
     return target
 
 

@@ -20,10 +20,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.buckets import rebalance_by_bucket, select_buckets, with_bucket
-from tidemark.names import BATCH_ID, BUCKET, DEFAULT_ORDER, DELETE_MODES, OP, OPS, one_of
+from tidemark.names import (
+    BATCH_ID,
+    BUCKET,
+    DEFAULT_ORDER,
+    DELETE_MODES,
+    DELETED_AT,
+    IS_DELETED,
+    META,
+    OP,
+    OPS,
+    one_of,
+)
+from tidemark.operators import layout
 from tidemark.operators.fold import fold_latest
 from tidemark.operators.merge import apply_folded, merge_changes, with_delete_flags
 from tidemark.sources.catalog import missing_columns, target_schema, validate_schema
+from tidemark.sources.changes import META_FIELDS
 
 
 @dataclass(frozen=True)
@@ -109,6 +122,14 @@ def _base(spark: SparkSession, table: StateTable, buckets: Sequence[int] | str |
     return select_buckets(spark.read.schema(base_schema(spark, table)).parquet(table.base_path), buckets)
 
 
+def log_schema(spark: SparkSession, table: StateTable) -> T.StructType:
+    """Schema of the logged changes: the declared columns, the metadata, bucket and batch."""
+    own = {IS_DELETED, DELETED_AT, BUCKET, *META}
+    columns = [f for f in base_schema(spark, table).fields if f.name not in own]
+    numbers = [T.StructField(BUCKET, T.IntegerType()), T.StructField(BATCH_ID, T.IntegerType())]
+    return T.StructType([*columns, *META_FIELDS, *numbers])
+
+
 def folded_upto(spark: SparkSession, table: StateTable) -> int:
     """Number of the last batch folded into the base; -1 if none."""
     if not path_exists(spark, table.folded_path):
@@ -122,7 +143,7 @@ def read_log(
     """Logged changes not yet in the base, up to batch ``as_of``; None when nothing was logged."""
     if not path_exists(spark, table.log_path):
         return None
-    log = spark.read.parquet(table.log_path)
+    log = spark.read.schema(log_schema(spark, table)).parquet(table.log_path)
     if unfolded_only:
         log = log.where(F.col(BATCH_ID) > folded_upto(spark, table))
     return log if as_of is None else log.where(F.col(BATCH_ID) <= as_of)
@@ -216,11 +237,46 @@ def write_state(
 
 
 def append_changes(spark: SparkSession, table: StateTable, changes: DataFrame, batch_id: int) -> None:
-    """Merge-on-read: log a batch. Writing the same batch again replaces it."""
+    """Merge-on-read: log a batch. Writing the same batch again replaces it.
+
+    Columns the base does not declare are stored, but not read until it does.
+    """
     rows = table.bucketed(changes)
     rebalance_by_bucket(rows).write.mode("overwrite").parquet(f"{table.log_path}/{BATCH_ID}={int(batch_id)}")
 
 
+def next_batch_id(spark: SparkSession, table: StateTable) -> int:
+    """First batch number no logged or folded batch has."""
+    last = folded_upto(spark, table)
+    log = read_log(spark, table, unfolded_only=False)
+    logged = None if log is None else log.agg(F.max(BATCH_ID)).first()[0]
+    return max(last, -1 if logged is None else logged) + 1
+
+
+def stream_offset(spark: SparkSession, table: StateTable, stream_id: str) -> int:
+    """What a stream adds to its own batch numbers, fixed the first time it writes here.
+
+    A stream counts from zero again when its checkpoint is new; without an offset its
+    batches would replace, or hide behind, those of the stream before it.
+    """
+    path = f"{table.path.rstrip('/')}/streams/{stream_id}"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.parquet(path).first()[0]
+    offset = next_batch_id(spark, table)
+    spark.createDataFrame([(offset,)], "first_batch int").coalesce(1).write.mode("overwrite").parquet(path)
+    return offset
+
+
+def compact_state(spark: SparkSession, table: StateTable, buckets: Sequence[int] | str | None = None) -> None:
+    """Compact the base, or some of its buckets."""
+    layout.compact(spark, table.base_path, buckets, base_schema(spark, table))
+
+
+def zorder_state(spark: SparkSession, table: StateTable, columns: str | Sequence[str], **how) -> None:
+    """Z-order the base; see :func:`tidemark.operators.layout.zorder`."""
+    layout.zorder(spark, table.base_path, columns, schema=base_schema(spark, table), **how)
+
+
 def fold_log(
     spark: SparkSession, table: StateTable, upto: int | None = None, deleted_at: Column | None = None
 ) -> int:

@@ -14,7 +14,7 @@ from tidemark.operators.merge import apply_updates
 from tidemark.plans.jobs import merge_once
 from tidemark.plans.options import MergeOptions
 from tidemark.sources.changes import read_changes
-from tidemark.sources.state import StateTable, read_state, replace_buckets
+from tidemark.sources.state import StateTable, ensure_state, read_state, replace_buckets, stream_offset
 
 
 def run_changes(
@@ -50,13 +50,13 @@ def run_changes(
         return writer.format("noop").start()
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # Read once, used by the emptiness test and by every step of the merge.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if not batch.isEmpty():
-                merge_once(batch.sparkSession, batch, table, options, batch_id)
-        finally:
-            batch.unpersist()
+        # No look at the batch before the merge: every sink reads it once, and an empty one
+        # changes nothing (copy-on-write finds no touched bucket, the log gets no row).
+        session, number = batch.sparkSession, batch_id
+        if options.sink == "mor":
+            ensure_state(session, table, batch, options.auto_create, options.evolve)
+            number += stream_offset(session, table, session.sparkContext.getLocalProperty("sql.streaming.queryId"))
+        merge_once(session, batch, table, options, number)
 
     return writer.foreachBatch(apply).start()
 
