@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -67,7 +68,17 @@ def test_guarded_batches_in_any_order_equal_replay(spark):
         assert rows(live) == sorted(replay(before, log), key=lambda r: str(r[0])), seed
 
 
-def test_stored_state_equals_replay(spark, folder):
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_stored_state_equals_replay(spark, folder, limit):
+    """With the batch's keys broadcast, and with every join and write shuffled."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        stored_equals_replay(spark, folder)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def stored_equals_replay(spark, folder):
     before, log = scenario(99)
     want = sorted(replay(before, log), key=lambda r: str(r[0]))
     start = frame(spark, list(before.items()), "k int, v string")

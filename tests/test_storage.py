@@ -159,6 +159,22 @@ def test_copy_on_write_touches_only_its_buckets(spark, folder):
     assert state.write_state(spark, table, changes(spark).limit(0)) == []
 
 
+def test_broadcast_limit(spark):
+    for text, size in (("10485760b", 10 * 2**20), ("10MB", 10 * 2**20), ("1g", 2**30), ("512", 512), ("-1", -1)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        assert state.broadcast_limit(spark) == size
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_batch_does_not_move_the_state(spark, folder):
+    table = small(spark, folder)
+    batch = state.fold_latest(table.bucketed(changes(spark, (3, "new", "UPDATE", 1))), ["k"])
+    parts = state.upsert_parts(state.read_state(spark, table, "base"), batch, ["k"], small=True)
+    plan = parts.kept._jdf.queryExecution().executedPlan().toString()
+    state_side = plan.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in state_side
+
+
 def test_emptied_bucket_is_cleared(spark, folder):
     table = small(spark, folder)
     base = state.read_state(spark, table, "base")

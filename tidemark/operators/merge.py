@@ -4,10 +4,10 @@
 only. ``phased`` semantics apply a batch as inserts, then updates, then deletes, with
 updates of absent keys dropped.
 
-No join names a side to broadcast. The changes are always the side Catalyst may build, and
-it does so only when its size estimate, or AQE's measured size, is under
-``spark.sql.autoBroadcastJoinThreshold``; beyond that the join shuffles both sides and AQE
-splits hot keys of the state. A full outer join would allow neither.
+The changes are always the side a join may build, reduced to their keys. They are broadcast
+only under ``spark.sql.autoBroadcastJoinThreshold``, by Catalyst's estimate, AQE's measured
+size, or a writer's own measurement (``small``); beyond it the join shuffles both sides and
+AQE splits hot keys of the state. A full outer join would allow neither.
 """
 
 from __future__ import annotations
@@ -244,32 +244,51 @@ def drop_stale(
     return _without(changes, stale, keys, null_safe)
 
 
-def _upsert(
+class Parts(NamedTuple):
+    """A merged state as the rows it keeps and the rows it adds."""
+
+    kept: DataFrame
+    added: DataFrame
+
+
+def upsert_parts(
     state: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
-    delete_mode: str,
-    guard_col: str | None,
-    deleted_at: Column | None,
-    null_safe: bool,
-) -> DataFrame:
+    delete_mode: str = "hard",
+    guard_col: str | None = None,
+    deleted_at: Column | None = None,
+    null_safe: bool = True,
+    small: bool = False,
+) -> Parts:
+    """Upsert of a folded batch in two parts, for a writer that treats them differently.
+
+    ``small`` says that the caller has measured the batch's keys and they may be broadcast;
+    the kept rows then stay in the partitions the state was read in.
+    """
+    if delete_mode == "soft":
+        state = with_delete_flags(state)
+    if guard_col is not None:
+        changes = drop_stale(changes, state, keys, guard_col, null_safe)
     if delete_mode == "ignore":
         changes = changes.where(F.col(OP) != DELETE)
-    live = align_to_target(changes.where(F.col(OP) != DELETE), state.schema)
+    added = align_to_target(changes.where(F.col(OP) != DELETE), state.schema)
+    keep_guard = delete_mode == "soft" and guard_col is not None and _has(state, guard_col)
+    decisive = _narrow(changes, keys, OP, *([guard_col] if keep_guard else []))
+    if small:
+        decisive = F.broadcast(decisive)
     if delete_mode != "soft":
         # Hard deletes and replaced rows leave the state the same way.
-        return _without(state, changes, keys, null_safe).unionByName(live)
+        match = key_condition(keys, null_safe=null_safe)
+        return Parts(state.alias("t").join(decisive.alias("s"), match, "left_anti").select("t.*"), added)
 
-    keep_guard = guard_col is not None and _has(state, guard_col)
-    more = [OP, guard_col] if keep_guard else [OP]
     deleted = _c("s", OP) == DELETE
     replaced = {guard_col: _c("s", guard_col)} if keep_guard else None
     kept = (
-        _left_join(state, _narrow(changes, keys, *more), keys, null_safe)
+        _left_join(state, decisive, keys, null_safe)
         .where(_c("s", _HIT).isNull() | deleted)
         .select(*_flagged(state, F.coalesce(deleted, F.lit(False)), deleted_at, replaced))
     )
-    result = kept.unionByName(live)
     if keep_guard:
         # A delete that arrives before its insert must still outrank it later.
         unseen = _absent(changes.where(F.col(OP) == DELETE), state, keys, null_safe)
@@ -279,8 +298,8 @@ def _upsert(
             .withColumn(IS_DELETED, F.lit(True))
             .withColumn(DELETED_AT, at.cast("timestamp"))
         )
-        result = result.unionByName(tombstones)
-    return result
+        added = added.unionByName(tombstones)
+    return Parts(kept, added)
 
 
 def _phased(
@@ -371,13 +390,14 @@ def apply_folded(
     semantics = one_of("semantics", semantics, SEMANTICS)
     delete_mode = one_of("delete_mode", delete_mode, DELETE_MODES)
     insert_mode = one_of("insert_mode", insert_mode, INSERT_MODES)
+    if semantics == "upsert":
+        kept, added = upsert_parts(state, changes, keys, delete_mode, guard_col, deleted_at, null_safe)
+        return kept.unionByName(added)
     if delete_mode == "soft":
         state = with_delete_flags(state)
     if guard_col is not None:
         changes = drop_stale(changes, state, keys, guard_col, null_safe)
-    if semantics == "phased":
-        return _phased(state, changes, keys, delete_mode, insert_mode, folded, deleted_at, null_safe)
-    return _upsert(state, changes, keys, delete_mode, guard_col, deleted_at, null_safe)
+    return _phased(state, changes, keys, delete_mode, insert_mode, folded, deleted_at, null_safe)
 
 
 def upsert_ordered(

@@ -34,7 +34,7 @@ from tidemark.names import (
 )
 from tidemark.operators import layout
 from tidemark.operators.fold import fold_latest
-from tidemark.operators.merge import apply_folded, merge_changes, with_delete_flags
+from tidemark.operators.merge import merge_changes, upsert_parts, with_delete_flags
 from tidemark.sources.catalog import missing_columns, target_schema, validate_schema
 from tidemark.sources.changes import META_FIELDS
 
@@ -187,24 +187,43 @@ def _merge(base: DataFrame, changes: DataFrame, table: StateTable, deleted_at: C
 
 
 def replace_buckets(
-    spark: SparkSession, table: StateTable, rows: DataFrame, touched: Sequence[int]
+    spark: SparkSession, table: StateTable, rows: DataFrame, touched: Sequence[int], placed: bool = False
 ) -> None:
-    """Make ``rows`` the whole content of the touched buckets; other buckets stay as they are."""
-    schema = rows.schema
+    """Make ``rows`` the whole content of the touched buckets; other buckets stay as they are.
+
+    ``placed`` rows are written from the partitions they are in; others are brought
+    together by bucket first.
+    """
     written = Observation()
-    counted = rebalance_by_bucket(rows).observe(written, F.collect_set(BUCKET).alias("buckets"))
+    rows = rows if placed else rebalance_by_bucket(rows)
     (
-        counted.write.mode("overwrite")
+        rows.observe(written, F.collect_set(BUCKET).alias("buckets"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(table.base_path)
     )
     # A dynamic overwrite leaves partitions alone that received no row: clear those.
-    filled = set(written.get["buckets"])
-    for bucket in sorted(set(touched) - filled):
+    for bucket in sorted(set(touched) - set(written.get["buckets"])):
         directory = f"{table.base_path}/{BUCKET}={bucket}"
         if path_exists(spark, directory):
-            _empty(spark, T.StructType(_data_fields(schema)), directory)
+            _empty(spark, T.StructType(_data_fields(rows.schema)), directory)
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative when broadcasts are off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    number, unit = text.rstrip("bkmgt"), text.lstrip("-0123456789")
+    return int(number) * {"": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}[unit.rstrip("b")]
+
+
+def _key_size(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Bytes a row's keys and operation take in a hash table, generously."""
+    size = F.lit(64 + 16 * len(keys)).cast("bigint")
+    for key in keys:
+        if isinstance(df.schema[key].dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(F.col(key)), F.lit(0))
+    return size
 
 
 def write_state(
@@ -212,25 +231,29 @@ def write_state(
 ) -> list[int]:
     """Copy-on-write: apply flat changes to the base, rewriting only the buckets they touch.
 
-    Returns those buckets. The folded batch is kept while it is used twice; the driver only
-    ever sees bucket numbers.
+    Returns those buckets. The folded batch is kept while it is used more than once, and
+    measured: if its keys fit a broadcast, the state is neither shuffled to be joined nor to
+    be written, and only the new rows move. The driver sees one row per bucket.
     """
     changes = table.bucketed(changes).where(F.col(OP).isin(*OPS))
     folded = fold_latest(changes, table.keys, table.order_by).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = sorted(r[0] for r in folded.select(BUCKET).distinct().collect())
+        sizes = folded.groupBy(BUCKET).agg(F.sum(_key_size(folded, table.keys))).collect()
+        touched = sorted(bucket for bucket, _ in sizes)
         if not touched:
             return []
-        base = _base(spark, table, touched)
-        merged = apply_folded(
-            base,
+        small = sum(size for _, size in sizes) <= broadcast_limit(spark)
+        kept, added = upsert_parts(
+            _base(spark, table, touched),
             folded,
             table.keys,
             delete_mode=table.delete_mode,
             guard_col=table.guard_col,
             deleted_at=deleted_at,
+            small=small,
         )
-        replace_buckets(spark, table, merged, touched)
+        merged = kept.unionByName(rebalance_by_bucket(added) if small else added)
+        replace_buckets(spark, table, merged, touched, placed=small)
         return touched
     finally:
         folded.unpersist()
