@@ -32,7 +32,7 @@ def test_counts(spark):
     assert rows(stats) == [(0, 6, 1.3333), (1, 3, 0.6667)]
 
 
-def test_freshness(spark):
+def test_freshness(spark, capsys):
     df = spark.createDataFrame(
         [("a", START), ("a", START + timedelta(seconds=5)), ("b", START + timedelta(seconds=65))], "g string, ts timestamp"
     )
@@ -41,6 +41,9 @@ def test_freshness(spark):
     seen = F.lit(START + timedelta(seconds=70))
     assert rows(checks.freshness_lag(df, "ts", ["g"], seen), "g", "lag_seconds") == [("a", 65.0), ("b", 5.0)]
     assert [r.g for r in checks.preview(df, ["ts"], 2).collect()] == ["a", "a"]
+    checks.print_preview(df, ["ts"], 2)
+    shown = capsys.readouterr().out
+    assert "row_count=3" in shown and "g: string" in shown
 
 
 def test_rates(spark):

@@ -29,7 +29,8 @@ def options(folder, **how):
 
 def test_option_checks(folder):
     for bad in (
-        {"sink": "kafka"}, {"trigger": "hourly"}, {"delete_mode": "purge"}, {"noop_buckets": "3-1"},
+        {"sink": "kafka"}, {"trigger": "hourly"}, {"semantics": "merge"}, {"noop_buckets": "3-1"},
+        {"sink": "mor", "semantics": "phased"}, {"insert_mode": "blind"},
         {"target": None}, {"checkpoint": None}, {"fold": False},
     ):
         with pytest.raises(ValueError):
@@ -143,6 +144,16 @@ def test_acceptance(spark, folder):
         accept(spark, batch, table, how)
 
 
+def test_phased_sink(spark, folder):
+    table = state.create_state(
+        spark, spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), StateTable(f"{folder}/t", ("k",), 4)
+    )
+    how = options(folder, sink="cow", streaming=False, semantics="phased", insert_mode="if_absent")
+    items = [(1, "x", "INSERT", 1), (2, "b", "DELETE", 1), (3, "c", "INSERT", 1), (4, "d", "UPDATE", 1)]
+    merge_once(spark, changes(spark, *items), table, how)
+    assert rows(state.read_state(spark, table), "k", "v") == [(1, "a"), (3, "c")]
+
+
 def account(spark, folder):
     start = spark.range(30).selectExpr("cast(id as int) k", "cast(id as float) balance", "timestamp_seconds(0) stamp")
     return state.create_state(spark, start, StateTable(f"{folder}/t", ("k",), 2))

@@ -95,3 +95,10 @@ def check_counts(source: dict[str, DataFrame], loaded: dict[str, DataFrame]) ->
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame:
     """First ``n`` rows by ``order_by``; planned as a top-n, not a sort."""
     return df.orderBy(*order_by).limit(n)
+
+
+def print_preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> None:
+    """Print the schema, the row count and the first rows, untruncated."""
+    df.printSchema()
+    print(f"row_count={df.count()}")
+    preview(df, order_by, n).show(n, truncate=False)

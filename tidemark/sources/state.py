@@ -34,7 +34,7 @@ from tidemark.names import (
 )
 from tidemark.operators import layout
 from tidemark.operators.fold import fold_latest
-from tidemark.operators.merge import merge_changes, upsert_parts, with_delete_flags
+from tidemark.operators.merge import apply_folded, merge_changes, upsert_parts, with_delete_flags
 from tidemark.sources.catalog import missing_columns, target_schema, validate_schema
 from tidemark.sources.changes import META_FIELDS
 
@@ -227,10 +227,17 @@ def _key_size(df: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def write_state(
-    spark: SparkSession, table: StateTable, changes: DataFrame, deleted_at: Column | None = None
+    spark: SparkSession,
+    table: StateTable,
+    changes: DataFrame,
+    deleted_at: Column | None = None,
+    semantics: str = "upsert",
+    insert_mode: str = "append",
 ) -> list[int]:
     """Copy-on-write: apply flat changes to the base, rewriting only the buckets they touch.
 
+    Phased semantics with appended inserts double rows when a batch is applied again.
+
     Returns those buckets. The folded batch is kept while it is used more than once, and
     measured: if its keys fit a broadcast, the state is neither shuffled to be joined nor to
     be written, and only the new rows move. The driver sees one row per bucket.
@@ -242,6 +249,13 @@ def write_state(
         touched = sorted(bucket for bucket, _ in sizes)
         if not touched:
             return []
+        if semantics != "upsert":
+            base = _base(spark, table, touched)
+            merged = apply_folded(
+                base, folded, table.keys, semantics, table.delete_mode, insert_mode, table.guard_col, deleted_at
+            )
+            replace_buckets(spark, table, merged, touched)
+            return touched
         small = sum(size for _, size in sizes) <= broadcast_limit(spark)
         kept, added = upsert_parts(
             _base(spark, table, touched),

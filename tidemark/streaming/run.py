@@ -75,9 +75,10 @@ def run_all(
     try:
         for name, (log_path, business, table, options) in jobs.items():
             started[name] = run_changes(spark, log_path, business, table, options, name)
-        if wait:
-            for query in started.values():
-                query.awaitTermination()
+        running = list(started.values()) if wait else []
+        while running:
+            # Raises as soon as one has failed, whichever it is.
+            running = [query for query in running if not query.awaitTermination(1)]
     except BaseException:
         for query in started.values():
             query.stop()
