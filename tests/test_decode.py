@@ -3,7 +3,7 @@
 import math
 import random
 import struct
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest

@@ -174,7 +174,7 @@ def test_guard_keeps_tombstones(spark):
 
 
 def test_upsert_ordered_scopes(spark):
-    made = spark.range(1, 41).withColumnRenamed("id", "p").join(spark.range(1, 2501).withColumnRenamed("id", "k"))
+    made = spark.range(100_000).selectExpr("id div 2500 + 1 as p", "id % 2500 + 1 as k")
     batch = made.select(
         F.col("k").cast("int").alias("id"),
         F.format_string("p%03d", "p").alias("dt"),

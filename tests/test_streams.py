@@ -70,6 +70,20 @@ def test_stream_resumes_and_replays(spark, folder, sink):
     assert rows(state.read_state(spark, table), "k", "v") == [(1, "z"), (3, "c")]
 
 
+def test_processing_time_trigger(spark, folder):
+    table, log = StateTable(f"{folder}/t", ("k",), 4), f"{folder}/log"
+    write_changes(changes(spark, (1, "a", "INSERT", 1)), log, ["k"], 4)
+    query = run.run_changes(spark, log, BUSINESS, table, options(folder, trigger="processing-time", interval="1 second"))
+    try:
+        query.processAllAvailable()
+        assert rows(state.read_state(spark, table), "k", "v") == [(1, "a")]
+        write_changes(changes(spark, (1, "b", "UPDATE", 2)), log, ["k"], 4)
+        query.processAllAvailable()
+        assert rows(state.read_state(spark, table), "k", "v") == [(1, "b")]
+    finally:
+        query.stop()
+
+
 def test_new_checkpoint_after_folding_loses_nothing(spark, folder):
     """Batch numbers of a new checkpoint start again; they must not hide behind folded ones."""
     table, log = StateTable(f"{folder}/t", ("k",), 4), f"{folder}/log"

@@ -9,7 +9,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.buckets import (
     register_bucket_function,
@@ -18,7 +17,7 @@ from tidemark.functions.buckets import (
 )
 from tidemark.functions.keybytes import key_bytes
 from tidemark.functions.zorder import interleave
-from tidemark.names import BATCH_ID, BUCKET, COLLECTION_ORDER, DELETED_AT, IS_DELETED, META, OP
+from tidemark.names import BATCH_ID, BUCKET, COLLECTION_ORDER, DELETED_AT, META, OP
 from tidemark.operators import checks, decode, fold, layout, merge, metrics
 from tidemark.plans import fixtures
 from tidemark.plans.fixtures import CHANGES_SQL, EVENT_CHANGES_SQL, ORDER_COLUMNS, STATE_SQL, TABLES, load
