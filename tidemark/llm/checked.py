@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import lines, substring
+from tidemark.llm import jaccard, lines, mixing, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,3 +89,63 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_shared_lines(table(spark, sf_dir, "documents"), max_docs=1, min_length=10)
     kept = F.sha2(F.coalesce("kept_text", F.lit("")), 256)
     return out.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
+
+
+TOP_SQL = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+), s as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+    from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0
+)
+select query_id, rank::int as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 5
+"""
+
+NEAR_SQL = rf"""
+with recursive w as (
+    select doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACES_SQL}+'),
+        lambda x: x <> '') as ws
+    from documents
+), g as (
+    select distinct doc_id, array_to_string(ws[i:i + 4], ' ') as s
+    from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as i from w where len(ws) > 0)
+), n as (select doc_id, count(*) as n from g group by doc_id
+), b as (
+    select x.doc_id as a, y.doc_id as b, count(*) as both from g x join g y on x.s = y.s and x.doc_id <> y.doc_id group by 1, 2
+), l as (
+    select b.a, b.b, b.both = p.n and b.both = q.n as same
+    from b join n p on b.a = p.doc_id join n q on b.b = q.doc_id where 5 * b.both >= 4 * (p.n + q.n - b.both)
+), r as (
+    select doc_id as node, doc_id as root from documents
+    union
+    select l.b as node, r.root from r join l on r.node = l.a
+), m as (select node, min(root) as group_id from r group by node
+), c as (
+    select a, min(b) filter (same) as twin, count(*) filter (same) as twins, count(*) as links from l group by a
+)
+select d.doc_id, least(d.doc_id, coalesce(c.twin, d.doc_id)) as class_id, m.group_id,
+       1 + coalesce(c.twins, 0) as n_copies, coalesce(c.links, 0) as n_links
+from documents d join m on d.doc_id = m.node left join c on d.doc_id = c.a
+"""
+
+
+@checked("op1_exact_topk", TOP_SQL)
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows by whole-number inner product for every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+@checked("op3_ngram_jaccard", NEAR_SQL)
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text class, near-duplicate group and links of every document, at 0.8 over runs of five words."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8, width=5)
+
+
+@checked("op10_mix_sources")
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's slot when sources are interleaved by the square root of their size."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix_sources(docs, block_rows=16, power=0.5)
