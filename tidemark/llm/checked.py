@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, lines, mixing, substring, topk
+from tidemark.llm import jaccard, licenses, lines, mixing, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Least mean log ratio of n-grams of a document that is kept.
+QUALITY_THRESHOLD = -0.3
+
 #: White space of the contracts, for SQL.
 SPACES_SQL = r"[\x20\x09-\x0D]"
 
@@ -149,3 +152,34 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's slot when sources are interleaved by the square root of their size."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix_sources(docs, block_rows=16, power=0.5)
+
+
+@checked("op7_quality_rules")
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symptom counts and the likelihood-ratio verdict of every document."""
+    labels = table(spark, sf_dir, "labels")
+    trusted = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0))
+    out = quality.quality_rules(table(spark, sf_dir, "documents"), trusted, threshold=QUALITY_THRESHOLD)
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr"
+    )
+
+
+@checked("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    out = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.filter("places", lambda p: p["base"])
+    start = F.transform(base, lambda p: p["start"].cast("long"))
+    joined = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+    best = F.array_max(F.transform("places", lambda p: p["score"]))
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(start).alias("first_word"),
+        F.array_max(start).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.col("places")).alias("labels"),
+        F.coalesce(best, F.lit(0.0)).alias("score"),
+    )

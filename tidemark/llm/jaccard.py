@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -71,6 +71,11 @@ def signatures(row: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _set_hash(h: np.ndarray, kind: int = 0) -> np.uint64:
+    """A hash of a set of distinct shingles, whatever their order."""
+    return mix(h + np.uint64(kind * 77 + 1)).sum(dtype=np.uint64)
+
+
 def _sign(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,11 +165,13 @@ def _shingle_sets(width: int):
             for block in blocks(batch["__text"]):
                 row, h = shingles(block, split_words(block), width)
                 cuts = np.searchsorted(row, np.arange(1, len(block.offsets) - 1))
-                sets += [np.unique(x).tobytes() for x in np.split(h, cuts)]
-            names = [n for n in batch.schema.names if n != "__text"]
+                sets += [np.unique(x) for x in np.split(h, cuts)]
+            # Of rows that share an id, the one that was signed.
+            signed = np.array([_set_hash(x) for x in sets], np.uint64).view(np.int64) == batch["__set1"].to_numpy()
+            names = [n for n in batch.schema.names if n not in ("__text", "__set1")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch[n] for n in names), pa.array(sets, pa.binary())], [*names, "__set"]
-            )
+                [*(batch[n] for n in names), pa.array([x.tobytes() for x in sets], pa.binary())], [*names, "__set"]
+            ).filter(pa.array(signed))
 
     return run
 
@@ -267,8 +274,9 @@ def near_duplicates(
     ``n_links`` (documents it is linked to, copies included).
 
     Texts that are null or have no words are linked to nothing, each its own class and group.
-    Ids must be whole numbers; rows without an id are left out; rows that repeat an id count as
-    one document for each different shingle set, and come out as often as they are in ``docs``.
+    Ids must be whole numbers; rows without an id are left out. Rows that repeat an id come out as
+    often as they are in ``docs``; if their texts differ, one of them (by the hash of its shingles)
+    is compared with other texts, and the others only find their copies.
     An empty table gives no rows. No pair at or above the threshold that shares a bucket is lost
     but with the tolerated probability.
     """
@@ -285,8 +293,9 @@ def near_duplicates(
         & (F.col("s.__set1") == F.col("c.__set1"))
         & (F.col("s.__set2") == F.col("c.__set2")),
     )
-    kept = kept.select("__doc", "__size", "__copies", "__sig").dropDuplicates(["__doc"])
-    kept = stored(kept, "class-signatures")
+    one = F.row_number().over(Window.partitionBy("__doc").orderBy("s.__set1", "s.__set2"))
+    kept = kept.select("__doc", "s.__set1", "__copies", "__sig", one.alias("__one")).where(F.col("__one") == 1)
+    kept = stored(kept.drop("__one"), "class-signatures")
 
     raw = BAND * 2
     bands = F.transform(
@@ -317,8 +326,8 @@ def near_duplicates(
     inside = block.join(stored(sizes, "block-sizes"), "root").select(
         F.col("node").alias("__doc"), F.col("root").alias("__block"), tiles.alias("__tiles")
     )
-    inside = stored(inside.join(kept.select("__doc", "__copies", "__size", "__sig"), "__doc"), "block-members")
-    full = texts.join(inside, "__doc").select("__doc", "__block", "__tiles", "__copies", "__sig", "__text")
+    inside = stored(inside.join(kept, "__doc"), "block-members")
+    full = texts.join(inside, "__doc").select("__doc", "__set1", "__block", "__tiles", "__copies", "__sig", "__text")
     kind = "__doc long, __block long, __tiles int, __copies long, __sig binary, __set binary"
     full = full.mapInArrow(_shingle_sets(width), kind)
     tile = F.pmod(F.xxhash64("__doc"), F.col("__tiles")).cast("int")
