@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, licenses, lines, mixing, quality, substring, topk
+from tidemark.llm import jaccard, langid, licenses, lines, mixing, packing, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,3 +183,33 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.col("places")).alias("labels"),
         F.coalesce(best, F.lit(0.0)).alias("score"),
     )
+
+
+def id_remainder(n: int):
+    """crc32 of the id as text, modulo ``n``; a missing id is the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
+
+
+@checked("op2_pack_tokens")
+def op2_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces and their places in windows of 1024."""
+    import public_tokenizers as public
+
+    pieces = packing.cut_pieces(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        public.path("byte_bpe_50k.json"),
+        window=1024,
+        end_id=0,
+        ranks=public.path("byte_bpe_50k.tiktoken"),
+        pattern=public.PATTERN,
+    )
+    digests = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.pack_pieces(digests, ["doc_id", "start"], window=1024)
+
+
+@checked("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; a third of them, by id, is held out of learning."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", id_remainder(3) == 1)
+    model = langid.train(docs.where(~F.col("held_out")))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
