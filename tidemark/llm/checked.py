@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, langid, licenses, lines, mixing, packing, quality, substring, topk
+from tidemark.llm import jaccard, langid, licenses, lines, lm, mixing, packing, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,13 +190,12 @@ def id_remainder(n: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
-@checked("op2_pack_tokens")
-def op2_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's token pieces and their places in windows of 1024."""
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Token pieces of documents by the 50,257-word byte vocabulary, with digests, packed into windows of 1024."""
     import public_tokenizers as public
 
     pieces = packing.cut_pieces(
-        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        docs.select("doc_id", "text"),
         public.path("byte_bpe_50k.json"),
         window=1024,
         end_id=0,
@@ -207,9 +206,33 @@ def op2_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(digests, ["doc_id", "start"], window=1024)
 
 
+@checked("op2_pack_tokens")
+def op2_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces and their places in windows."""
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 @checked("op9_language_id")
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; a third of them, by id, is held out of learning."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", id_remainder(3) == 1)
     model = langid.train(docs.where(~F.col("held_out")))
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@checked("op6_lm_score")
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document by single tokens and by the model; a seventh is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder(7) == 2
+    model, counts = lm.train(docs.where(~held_out))
+    out = lm.score_texts(docs, model, counts)
+    return out.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
