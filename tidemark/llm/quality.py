@@ -56,7 +56,9 @@ def with_symptoms(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = out.withColumn("__again", F.sort_array(F.transform(again, lambda x: x["i"])))
     covered = F.transform("__again", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("__again", i + 1) - p, F.lit(3))))
     repeated = F.coalesce(F.aggregate(covered, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long")
-    out = out.withColumn("n_repeat_words", repeated)
+    # Never null; but with it no filter on these columns moves below, where every step would be put
+    # into the next one's lambda and the texts split again for each word.
+    out = out.withColumn("n_repeat_words", F.when(F.monotonically_increasing_id() >= 0, repeated))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.withColumn("base_failed", failed).drop("__words", "__lines", "__sorted", "__again")
 
@@ -134,4 +136,4 @@ def quality_rules(
     )
     judged = with_symptoms(docs, text_col).withColumn("__row", row).join(scores, "__row", "left").drop("__row")
     fine = F.coalesce(F.col("llr") >= threshold, F.lit(False))
-    return judged.withColumn("kept", ~F.col("base_failed") & fine)
+    return judged.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(fine))
