@@ -206,7 +206,8 @@ def train(
         share = F.when(F.col("__lang") == lang, int(min(1.0, per_language / n) * (1 << 30))).otherwise(share)
     sample = rows.where(F.col("__draw") < share)
     aside = F.pmod(F.xxhash64("__draw", "__text"), F.lit(10)) == 0
-    learn = sample.where(~aside).repartition(WORKERS, F.xxhash64("__text", "__draw")).select("__text", "__lang")
+    learn = sample.where(~aside).repartition(WORKERS, F.xxhash64("__text", "__draw"))
+    learn = learn.select("__text", "__lang").coalesce(WORKERS)
     z, n = np.zeros(shape), np.zeros(shape)
     for _ in range(rounds):
         passes = learn.mapInArrow(_pass(z, n, idf, languages, alpha, l1, l2), "seen long, z binary, n binary")

@@ -34,6 +34,8 @@ HEAD = 1 << 18
 STEP = 4096
 ROUNDS = 2
 HELD = 1 << 20
+#: Text for a worker of a round: its weights are a small part of what it reads.
+WORKER_BYTES = 32 << 20
 #: Rows of weights that are averaged together, and workers whose weights meet in one group.
 CHUNK = 1 << 10
 FAN_IN = 32
@@ -247,6 +249,9 @@ def train(docs: DataFrame, rate: float = 0.2, text_col: str = "text") -> tuple[M
         class_log[r["c"]] = np.log10(r["n"] + r["v"] + 1)
     weights = np.zeros((FEATURES, CLASSES), np.float32)
     turn = F.pmod(F.xxhash64("__text", F.lit(7)), F.lit(ROUNDS))
+    size = texts.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
+    workers = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // WORKER_BYTES))
+    texts = texts.coalesce(workers)
     for i in range(ROUNDS):
         weights = _round(texts.where(turn == i), weights, own, rate)
     order = np.argsort(hashes)

@@ -26,7 +26,7 @@ from tidemark.llm.storage import stored
 PERIOD = 1024
 
 #: Documents of a source that are numbered in one task.
-RUN_ROWS = 1 << 14
+RUN_ROWS = 1 << 11
 
 
 class Phase(NamedTuple):

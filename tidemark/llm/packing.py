@@ -246,7 +246,9 @@ def pack_pieces(
     wrong = length.isNull() | (length < 1) | (length > window)
     checked = F.when(wrong, F.raise_error(F.lit(f"piece lengths must be 1 to {window}"))).otherwise(length)
     keys = [F.col(c) for c in order_by]
-    ranged = pieces.withColumn("__length", checked.cast("long")).repartitionByRange("__length", *keys)
+    # Stored first: the ranges are sampled from the pieces, which would be made twice.
+    given = stored(pieces.withColumn("__length", checked.cast("long")), "pieces")
+    ranged = given.repartitionByRange("__length", *keys)
     ranged = ranged.sortWithinPartitions("__length", *keys)
     ranged = ranged.withColumn("__task", F.spark_partition_id()).withColumn(
         "__at", F.monotonically_increasing_id() % F.lit(1 << 33)
