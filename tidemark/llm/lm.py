@@ -113,7 +113,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _features(row: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Hashed feature rows of each token: bias, word before, two before, and skips of one and two words."""
+    """Hashed feature rows of each token: word before, two before, and skips of one and two words; row 0 is the bias."""
     n = len(h)
     past = []
     for back in (1, 2, 3):
@@ -124,11 +124,11 @@ def _features(row: np.ndarray, h: np.ndarray) -> np.ndarray:
         past.append(before)
     one, two, three = past
     mask = np.uint64(FEATURES - 1)
-    out = np.zeros((n, 5), np.int32)
-    out[:, 1] = mix(one + np.uint64(1)) & mask
-    out[:, 2] = mix(one * np.uint64(3) + mix(two)) & mask
-    out[:, 3] = mix(two + np.uint64(2)) & mask
-    out[:, 4] = mix(three + np.uint64(3)) & mask
+    out = np.zeros((n, 4), np.int32)
+    out[:, 0] = mix(one + np.uint64(1)) & mask
+    out[:, 1] = mix(one * np.uint64(3) + mix(two)) & mask
+    out[:, 2] = mix(two + np.uint64(2)) & mask
+    out[:, 3] = mix(three + np.uint64(3)) & mask
     return out
 
 
@@ -140,19 +140,22 @@ def _classes(h: np.ndarray, spelling: np.ndarray, own: np.ndarray) -> np.ndarray
     return np.where(own[at] == h, at, OWN + spelling)
 
 
-def _log_softmax(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+def _softmax(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     logits = weights[features[:, 0]]
     for i in range(1, features.shape[1]):
-        logits = logits + weights[features[:, i]]
+        logits += weights[features[:, i]]
+    logits += weights[0]
     logits -= logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+    np.exp(logits, out=logits)
+    logits /= logits.sum(1, keepdims=True)
+    return logits
 
 
 def gradient_step(
     weights: np.ndarray, uses: np.ndarray, squares: np.ndarray, features: np.ndarray, y: np.ndarray, rate: float
 ) -> None:
     """One step on some tokens, in place; each feature row has its own step size by its past gradients."""
-    g = np.exp(_log_softmax(weights, features))
+    g = _softmax(weights, features)
     g[np.arange(len(y)), y] -= 1
     flat = features.ravel()
     order = np.argsort(flat, kind="stable")
@@ -162,6 +165,11 @@ def gradient_step(
     squares[rows] += (total * total).mean(1)
     uses[rows] += np.diff(np.r_[first, len(flat)])
     weights[rows] -= rate * total / (np.sqrt(squares[rows]) + 1e-6)[:, None]
+    # The bias is in every token.
+    total = g.sum(0)
+    squares[0] += (total * total).mean()
+    uses[0] += len(y)
+    weights[0] -= rate * total / (np.sqrt(squares[0]) + 1e-6)
 
 
 def _train(weights: np.ndarray, own: np.ndarray, rate: float):
@@ -234,9 +242,18 @@ def train(docs: DataFrame, rate: float = 0.2, text_col: str = "text") -> tuple[M
         F.first("__spelling").alias("__spelling"), F.sum("__n").alias("__n")
     )
     counts = stored(counts, "token-counts")
-    head = counts.orderBy(F.col("__n").desc(), "__h").select("__h", "__n").limit(HEAD).toPandas()
-    hashes = head["__h"].to_numpy(np.int64).view(np.uint64)
-    own = np.sort(hashes[:OWN])
+    # The least count of a frequent word, by a histogram of counts: a few hundred steps of 3 %.
+    level = F.floor(F.log(F.col("__n").cast("double")) * 32).cast("int")
+    levels = counts.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("v"), F.min("__n").alias("n")).collect()
+    least, taken = None, 0
+    for r in sorted(levels, key=lambda r: -r["l"]):
+        taken += r["v"]
+        if taken > HEAD:
+            break
+        least = r["n"]
+    head = counts.where(F.col("__n") >= least if least is not None else F.lit(False)).select("__h", "__n").toArrow()
+    hashes, times = head["__h"].to_numpy().view(np.uint64), head["__n"].to_numpy()
+    own = np.sort(hashes[np.lexsort((hashes, -times))[:OWN]])
     # Columns of the vocabulary by class; words with a class of their own are listed.
     listed = [int(x) for x in own.view(np.int64)]
     own_class = F.lit(None).cast("int")
@@ -256,7 +273,7 @@ def train(docs: DataFrame, rate: float = 0.2, text_col: str = "text") -> tuple[M
         weights = _round(texts.where(turn == i), weights, own, rate)
     order = np.argsort(hashes)
     model = Model(
-        weights, own, hashes[order], head["__n"].to_numpy(np.int64)[order], class_log,
+        weights, own, hashes[order], times[order], class_log,
         sum(r["n"] for r in sums), sum(r["v"] for r in sums),
     )
     return model, counts.select("__h", "__n")
@@ -275,9 +292,9 @@ def _score(model: Model):
                 chosen = np.zeros(len(y))
                 for at in range(0, len(y), STEP):
                     part = slice(at, at + STEP)
-                    log = _log_softmax(model.weights, features[part])
-                    chosen[part] = log[np.arange(len(log)), y[part]]
-                classes = chosen / np.log(10) - model.class_log[y]
+                    p = _softmax(model.weights, features[part])
+                    chosen[part] = p[np.arange(len(p)), y[part]]
+                classes = np.log10(np.maximum(chosen, 1e-30)) - model.class_log[y]
                 if len(model.head):
                     place = np.minimum(np.searchsorted(model.head, h), len(model.head) - 1)
                     found = model.head[place] == h
@@ -291,7 +308,7 @@ def _score(model: Model):
                     np.bincount(row, classes, n),
                 )
                 # Rare words, once for each text: their counts are joined.
-                if len(model.head) == HEAD and not found.all():
+                if model.words > len(model.head) and not found.all():
                     order = np.lexsort((h[~found], row[~found]))
                     r, x = row[~found][order], h[~found][order]
                     first = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (x[1:] != x[:-1])])
