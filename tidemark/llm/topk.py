@@ -75,7 +75,7 @@ def search_blocks(
     """
     top = max((float(np.abs(x).max(initial=0)) for x in [queries, *rows]), default=0.0)
     kind = np.float64 if top * top * max(1, queries.shape[1]) < EXACT else np.int64
-    worst = np.iinfo(np.int64).min
+    worst = np.iinfo(np.int64).min + 1  # its negative is a number of the kind, too
     queries, rows = queries.astype(kind), [x.astype(kind) for x in rows]
     low, high = np.array([x.min(0) for x in rows]), np.array([x.max(0) for x in rows])
     bound = np.maximum(queries, 0) @ high.T + np.minimum(queries, 0) @ low.T
