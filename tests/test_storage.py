@@ -299,11 +299,34 @@ def test_zorder_splits_one_hot_value(spark, folder):
     assert layout.layout_stats(spark, table.base_path).agg(F.max("row_count")).first()[0] < 2500
 
 
-def test_zorder_columns():
-    assert layout.parse_columns(" a, b ,") == ["a", "b"]
-    for bad in ("", "a;b", "1a", "a b"):
+def test_zorder_columns(spark):
+    made = spark.range(3).selectExpr("id as a", "id as `b c`")
+    assert layout.cluster_columns(made, " A, b c ,") == ["a", "b c"]
+    for bad in ("", "a;b", "z", ["a", "z"]):
         with pytest.raises(ValueError):
-            layout.parse_columns(bad)
+            layout.cluster_columns(made, bad)
+    with pytest.raises(ValueError):
+        layout.with_zvalue(made, "a,b c", bits=32)
+
+
+def test_append_import_keeps_an_evolved_schema_and_flags(spark, folder):
+    from tidemark.sources.catalog import TableDef, parse_schema
+    from tidemark.sources.ingest import import_table
+
+    source = TableDef("t", parse_schema("k:int,v:string"), ("k",))
+    with open(f"{folder}/t.csv", "w") as file:
+        file.write("1,a\n2,b\n")
+    with open(f"{folder}/more.csv", "w") as file:
+        file.write("3,c\n")
+    table = StateTable(f"{folder}/s", ("k",), 4, delete_mode="soft")
+    import_table(spark, f"{folder}/t.csv", source, table)
+    wider = spark.createDataFrame([(9, "z", "new", "INSERT", "t", 1, 1)],
+                                  "k int, v string, w string, _op string, _txn_id string, _total_order long, _collection_order long")
+    state.ensure_state(spark, table, wider)
+    state.write_state(spark, table, wider)
+    import_table(spark, f"{folder}/more.csv", source, table, "append")
+    got = rows(state.read_state(spark, table, "base"), "k", "v", "w", "_is_deleted")
+    assert got == [(1, "a", None, False), (2, "b", None, False), (3, "c", None, False), (9, "z", "new", False)]
 
 
 def test_hot_bucket_is_split_on_write(spark, folder):

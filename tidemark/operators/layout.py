@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,26 +14,26 @@ from tidemark.functions.zorder import interleave
 from tidemark.names import BUCKET
 
 _Z = "__z"
-_COLUMN_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 _TIE = "__tie"
 
 
-def parse_columns(text: str | Sequence[str]) -> list[str]:
-    """Comma-separated clustering columns; at least one, each a plain name."""
-    parts = [p.strip() for p in (text.split(",") if isinstance(text, str) else text)]
-    columns = [p for p in parts if p]
-    for column in columns:
-        if not _COLUMN_NAME.fullmatch(column):
-            raise ValueError(f"invalid Z-order column: {column}")
-    if not columns:
-        raise ValueError("at least one Z-order column is required")
-    return columns
+def cluster_columns(df: DataFrame, columns: str | Sequence[str]) -> list[str]:
+    """The columns to cluster by, given as names or as one comma-separated text, as the table spells them."""
+    listed = columns.split(",") if isinstance(columns, str) else columns
+    spelled = {name.lower(): name for name in df.columns}
+    wanted = [name.strip().lower() for name in listed if name.strip()]
+    if absent := [name for name in wanted if name not in spelled]:
+        raise ValueError(f"cannot cluster by {', '.join(absent)}: the table has {', '.join(df.columns)}")
+    if not wanted:
+        raise ValueError("clustering takes one column or more")
+    return [spelled[name] for name in wanted]
 
 
 def with_zvalue(df: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame:
     """Add the Z-value of the columns' quantile ranks as ``__z``."""
-    columns = parse_columns(columns)
-    bits = min(bits, 63 // len(columns))
+    columns = cluster_columns(df, columns)
+    if bits * len(columns) > 63:
+        raise ValueError(f"{bits} bits of {len(columns)} columns do not fit a number of 63 bits")
     _, cuts = cut_points(df, columns, 1 << bits)
     # Ranks in a projection of their own: the interleaving reads each of them many times.
     ranks = [f"__r_{c}" for c in columns]
@@ -86,7 +85,6 @@ def zorder(
     Rows are range-partitioned by bucket and Z-value. A row number of the scan ends the
     range key, so that even equal rows can be spread over several files.
     """
-    columns = parse_columns(columns)
     if compact_first:
         compact(spark, path, buckets, schema)
     stored = select_buckets(_stored(spark, path, schema), buckets)

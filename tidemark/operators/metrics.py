@@ -35,13 +35,14 @@ def with_previous(
     chunks = max(1, min(MAX_CHUNKS, -(-total // chunk_rows)))
     every = max(1, MAX_CHUNKS // chunks)
     chunked = samples.withColumn("__chunk", rank_column(samples, ts, cuts[ts][every - 1 :: every] if chunks > 1 else []))
-    inside = Window.partitionBy(*by, "__chunk").orderBy(ts)
+    # Equal times are put in order by the carried columns, here and in the last sample of a range.
+    inside = Window.partitionBy(*by, "__chunk").orderBy(ts, *[c for c in columns if c != ts])
     lagged = chunked.select(
         "*", *[F.lag(c).over(inside).alias(f"__in_{c}") for c in carried], F.row_number().over(inside).alias("__rn")
     )
     if chunks == 1:
         return lagged.select(*samples.columns, *[F.col(f"__in_{c}").alias(f"prev_{c}") for c in carried])
-    lasts = chunked.groupBy(*by, "__chunk").agg(F.max_by(F.struct(*carried), F.col(ts)).alias("__last"))
+    lasts = chunked.groupBy(*by, "__chunk").agg(F.max(F.struct(*carried)).alias("__last"))
     across = Window.partitionBy(*by).orderBy("__chunk")
     before = lasts.select(*by, "__chunk", F.lag("__last").over(across).alias("__before"))
     joined = lagged.alias("l").join(

@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.buckets import rebalance_by_bucket, with_bucket
 from tidemark.names import BUCKET
 from tidemark.operators.fold import fold_latest
-from tidemark.operators.merge import replace_older
+from tidemark.operators.merge import replace_older, with_delete_flags
 from tidemark.sources.catalog import TableDef, list_tables, require
-from tidemark.sources.state import StateTable, declare_schema, path_exists, read_state, replace_buckets
+from tidemark.sources.state import (
+    StateTable,
+    base_schema,
+    declare_schema,
+    path_exists,
+    read_state,
+    replace_buckets,
+)
 
 IMPORT_MODES = ("overwrite", "append", "upsert", "skip")
 
@@ -34,7 +41,19 @@ def scan_csv(spark: SparkSession, path: str, table: TableDef, raw: bool = False)
 
 def _load(spark: SparkSession, rows: DataFrame, target: StateTable, mode: str, max_records_per_file: int) -> None:
     """Partitioned write by ``_bucket``; AQE decides how many files a bucket gets."""
-    declare_schema(spark, target, rows.schema)
+    if mode == "append" and path_exists(spark, target.schema_path):
+        # The table may have been evolved: its schema stays, and columns the file lacks are NULL.
+        declared = base_schema(spark, target)
+        if extra := [c for c in rows.columns if c not in declared.names]:
+            raise ValueError(f"the table has no columns {', '.join(extra)}; evolve it first")
+        rows = rows.select(
+            *[
+                (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in declared.fields
+            ]
+        )
+    else:
+        declare_schema(spark, target, rows.schema)
     writer = rebalance_by_bucket(rows).write.mode(mode).partitionBy(BUCKET)
     if max_records_per_file > 0:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -60,6 +79,8 @@ def import_table(
     if mode == "skip" and exists:
         return target
     rows = with_bucket(scan_csv(spark, csv_path, table), table.keys, target.buckets, target.bucket_fn)
+    if target.delete_mode == "soft":
+        rows = with_delete_flags(rows)
     if mode != "upsert" or not exists:
         _load(spark, rows, target, "append" if mode == "append" else "overwrite", max_records_per_file)
         return target

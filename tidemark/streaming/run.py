@@ -28,9 +28,14 @@ def run_changes(
     """Start the stream that merges a change log into a table.
 
     The merge-on-read sink is safe to replay and immune to batches that arrive out of
-    order. The copy-on-write sink is safe to replay; give its table a ``guard_col`` and
-    soft deletes when order across batches matters.
+    order. File batches do not follow the order of changes, so a copy-on-write table must keep
+    what it needs to tell an older change: a ``guard_col``, and soft deletes, whose tombstones
+    keep the deleted keys' guards. A stream applies upserts only: phases are not safe to replay.
     """
+    if options.semantics != "upsert":
+        raise ValueError("a stream can be replayed only with semantics='upsert'")
+    if options.sink == "cow" and (table.guard_col is None or table.delete_mode != "soft"):
+        raise ValueError("a stream into a copy-on-write table needs guard_col and delete_mode='soft'")
     changes = read_changes(
         spark,
         log_path,
