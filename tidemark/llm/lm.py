@@ -158,7 +158,7 @@ def gradient_step(
     g = _softmax(weights, features)
     g[np.arange(len(y)), y] -= 1
     flat = features.ravel()
-    order = np.argsort(flat, kind="stable")
+    order = np.argsort(flat.astype(np.int16), kind="stable")  # rows fit 16 bits, which are sorted by radix
     first = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
     rows = flat[order][first]
     total = np.add.reduceat(g[order // features.shape[1]], first, axis=0)
