@@ -141,9 +141,9 @@ def _classes(h: np.ndarray, spelling: np.ndarray, own: np.ndarray) -> np.ndarray
 
 
 def _softmax(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    logits = weights[features[:, 0]]
+    logits = weights.take(features[:, 0], axis=0)
     for i in range(1, features.shape[1]):
-        logits += weights[features[:, i]]
+        logits += weights.take(features[:, i], axis=0)
     logits += weights[0]
     logits -= logits.max(1, keepdims=True)
     np.exp(logits, out=logits)
@@ -161,10 +161,11 @@ def gradient_step(
     order = np.argsort(flat.astype(np.int16), kind="stable")  # rows fit 16 bits, which are sorted by radix
     first = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
     rows = flat[order][first]
-    total = np.add.reduceat(g[order // features.shape[1]], first, axis=0)
-    squares[rows] += (total * total).mean(1)
+    total = np.add.reduceat(g.take(order // features.shape[1], axis=0), first, axis=0)
+    squares[rows] += np.einsum("ij,ij->i", total, total) / CLASSES
     uses[rows] += np.diff(np.r_[first, len(flat)])
-    weights[rows] -= rate * total / (np.sqrt(squares[rows]) + 1e-6)[:, None]
+    total *= (rate / (np.sqrt(squares[rows]) + 1e-6))[:, None]
+    weights[rows] -= total
     # The bias is in every token.
     total = g.sum(0)
     squares[0] += (total * total).mean()
