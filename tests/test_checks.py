@@ -69,6 +69,19 @@ def test_rates(spark):
     assert rows(none.select("rx_mbps").distinct()) == [(0.0,)]
 
 
+def test_previous_samples_shuffle_the_samples_once(spark):
+    made = spark.range(400).selectExpr("if(id % 3 = 0, null, id % 3) as host", "id as ts", "id as c")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = metrics.with_previous(made, ["host"], "ts", ["c"], 50)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The samples, their partial last rows, and the few last rows by group and back by range.
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert out.count() == 400
+
+
 @pytest.mark.parametrize("chunk_rows", [1, 50, 10**9])
 def test_previous_sample_across_chunks_equals_lag(spark, chunk_rows):
     """One host has most of the samples; gaps span several chunks."""

@@ -309,6 +309,69 @@ def test_zorder_columns(spark):
         layout.with_zvalue(made, "a,b c", bits=32)
 
 
+def test_text_is_ranked_by_its_whole_value(spark):
+    made = spark.range(2000).selectExpr("format_string('Customer#%09d', id) as s", "id")
+    made = made.unionByName(spark.sql("select cast(null as string) s, -1L id"))
+    ranked = layout.with_zvalue(made, ["s"]).orderBy("id").select("__z").collect()
+    z = [r[0] for r in ranked]
+    assert z == sorted(z) and len(set(z)) > 200 and z[0] == 0
+    assert layout.with_zvalue(made.where("id < 0"), ["s"]).select("__z").first()[0] == 0
+
+
+def test_rank_bits_follow_the_number_of_files():
+    assert layout.rank_bits(1, 3) == 8 and layout.rank_bits(1 << 20, 2) == 13
+    with pytest.raises(ValueError):
+        layout.rank_bits(1, 8)
+
+
+def test_compaction_takes_only_buckets_with_small_files(spark, folder):
+    made = spark.range(100).selectExpr("id as k")
+    table = state.create_state(spark, made, StateTable(f"{folder}/c", ("k",), 4))
+    more = table.bucketed(spark.range(100, 140).selectExpr("id as k")).where("_bucket = 1").coalesce(1)
+    more.write.mode("append").partitionBy("_bucket").parquet(table.base_path)
+    first, again = state.compact_state(spark, table).first(), state.compact_state(spark, table).first()
+    assert (first.rewritten_buckets, first.files_before - first.files_after) == (1, 1)
+    assert (again.rewritten_buckets, again.bytes_after) == (0, again.bytes_before)
+    assert state.read_state(spark, table, "base").count() == 100 + more.count()
+    with pytest.raises(ValueError, match="cluster"):
+        state.zorder_state(spark, table)
+
+
+def test_a_table_is_opened_with_its_own_settings(spark, folder):
+    made = spark.range(50).selectExpr("cast(id as int) as k", "'v' as v")
+    table = state.create_state(spark, made, StateTable(f"{folder}/t", ("k",), 4, "md5"))
+    batch = changes(spark, (1, "new", "UPDATE", 1))
+    for other in (
+        StateTable(table.path, ("k",), 4), StateTable(table.path, ("k",), 8, "md5"),
+        StateTable(table.path, ("v",), 4, "md5"), StateTable(table.path, ("k",), 4, "md5", "soft"),
+    ):
+        with pytest.raises(ValueError, match="the table at"):
+            state.write_state(spark, other, batch)
+        with pytest.raises(ValueError, match="the table at"):
+            state.ensure_state(spark, other, batch)
+    state.write_state(spark, table, batch)
+    assert state.read_state(spark, table).count() == 50
+    assert not any(f.metadata for f in state.read_state(spark, table).schema.fields)
+
+
+def test_the_log_is_pruned_by_bucket_and_expires_after_a_fold(spark, folder):
+    made = spark.range(200).selectExpr("cast(id as int) as k", "'v' as v")
+    table = state.create_state(spark, made, StateTable(f"{folder}/t", ("k",), 4))
+    state.append_changes(spark, table, changes(spark, (1, "a", "UPDATE", 1)), 0)
+    state.append_changes(spark, table, changes(spark, (1, "b", "UPDATE", 2), (2, "c", "DELETE", 2)), 1)
+    one = state.read_log(spark, table).where("_bucket = 3")
+    assert "_bucket" in one._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("]")[0]
+    snapshot = rows(state.read_state(spark, table).drop("_bucket"))
+    assert len(snapshot) == 199 and (1, "b") in snapshot
+    assert rows(state.read_state(spark, table, as_of=0).where("k < 3").drop("_bucket")) == [(0, "v"), (1, "a"), (2, "v")]
+    assert state.fold_log(spark, table, upto=0) == 0
+    assert state.expire_log(spark, table) == [0] and state.logged_batches(spark, table) == [1]
+    assert rows(state.read_state(spark, table).drop("_bucket")) == snapshot
+    assert state.fold_log(spark, table) == 1 and state.expire_log(spark, table) == [1]
+    assert state.expire_log(spark, table) == [] and state.next_batch_id(spark, table) == 2
+    assert rows(state.read_state(spark, table).drop("_bucket")) == snapshot
+
+
 def test_append_import_keeps_an_evolved_schema_and_flags(spark, folder):
     from tidemark.sources.catalog import TableDef, parse_schema
     from tidemark.sources.ingest import import_table

@@ -119,6 +119,26 @@ def test_noop_buckets_and_bucket_choice(spark, folder):
     assert rows(read_changes(spark, log, BUSINESS, buckets="3").select("_bucket").distinct()) == [(3,)]
 
 
+def test_progress_of_more_batches_than_spark_keeps(spark, folder):
+    log = f"{folder}/log"
+    write_changes(changes(spark, *[(k, "v", "INSERT", k) for k in range(40)]), log, ["k"], 8)
+    how = options(folder, sink="noop", target=None, max_files_per_trigger=1)
+    batches = run.ProgressLog()
+    spark.streams.addListener(batches)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        query = run.run_changes(spark, log, BUSINESS, StateTable(f"{folder}/t", ("k",), 8), how)
+        query.awaitTermination()
+        got = run.progress_frame(spark, query, batches)
+        assert run.progress_frame(spark, query).count() <= 2
+        assert got.agg(F.sum("input_rows"), F.countDistinct("batch_id")).first() == (40, got.count())
+        assert got.count() > 2
+        batches.forget(query)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+        spark.streams.removeListener(batches)
+
+
 def test_other_sinks_and_progress(spark, folder):
     log = f"{folder}/log"
     write_changes(changes(spark, (1, "a", "INSERT", 1), (2, "b", "INSERT", 1)), log, ["k"], 4)

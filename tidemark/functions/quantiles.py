@@ -1,4 +1,4 @@
-"""Cut points of a column from mergeable sketches, and the rank of a value among them."""
+"""Cut points of a column (numbers by mergeable sketches, text by range partitions), and the rank of a value among them."""
 
 from __future__ import annotations
 
@@ -11,11 +11,8 @@ from tidemark.functions.keybytes import ntz_micros
 
 
 def ordinal(df: DataFrame, column: str) -> Column:
-    """A number that sorts like the column (text by its first seven bytes)."""
+    """What is compared with the column's cut points: a number that sorts like it, or the whole text."""
     kind, value = df.schema[column].dataType.typeName(), F.col(column)
-    if kind == "string":
-        digits = F.rpad(F.substring(F.hex(F.encode(value, "UTF-8")), 1, 14), 14, "0")
-        return F.conv(digits, 16, 10).cast("bigint")
     if kind == "timestamp":
         return F.unix_micros(value)
     if kind == "timestamp_ntz":
@@ -27,19 +24,37 @@ def ordinal(df: DataFrame, column: str) -> Column:
     return value
 
 
+def _is_text(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() in ("string", "varchar", "char", "binary")
+
+
+def text_cuts(df: DataFrame, column: str, parts: int) -> list:
+    """Up to ``parts - 1`` values that cut the column's distinct whole values into ranges of about equal number.
+
+    They are the smallest values of a range partitioning. Values are made distinct first, with
+    partial results before the shuffle, so a frequent one fills no task. The driver gets one
+    value per range.
+    """
+    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).distinct()
+    ranges = values.repartitionByRange(parts, "v").groupBy(F.spark_partition_id()).agg(F.min("v").alias("v"))
+    return sorted(r["v"] for r in ranges.collect())[1:]
+
+
 def cut_points(
     df: DataFrame, columns: Sequence[str], parts: int, accuracy: int = 10_000
 ) -> tuple[int, dict[str, list]]:
-    """Row count, and up to ``parts - 1`` distinct cut points per column, in one pass.
+    """Row count, and up to ``parts - 1`` distinct cut points per column: one pass, and one more per text column.
 
     The sketches merge map-side and the result has a fixed size, whatever the table holds.
     """
     fractions = [i / parts for i in range(1, parts)]
+    sketched = [c for c in columns if not _is_text(df, c)]
     sketches = [
-        F.percentile_approx(ordinal(df, c), fractions, accuracy).alias(f"q{i}") for i, c in enumerate(columns)
+        F.percentile_approx(ordinal(df, c), fractions, accuracy).alias(f"q{i}") for i, c in enumerate(sketched)
     ]
     row = df.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
-    return row["n"], {c: sorted(set(row[f"q{i}"] or [])) for i, c in enumerate(columns)}
+    cuts = {c: sorted(set(row[f"q{i}"] or [])) for i, c in enumerate(sketched)}
+    return row["n"], cuts | {c: text_cuts(df, c, parts) for c in columns if _is_text(df, c)}
 
 
 def rank_column(df: DataFrame, column: str, cuts: list) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.buckets import rebalance_by_bucket, select_buckets
+from tidemark.functions.buckets import parse_ranges, rebalance_by_bucket, select_buckets
 from tidemark.functions.quantiles import cut_points, rank_column
 from tidemark.functions.zorder import interleave
 from tidemark.names import BUCKET
@@ -56,18 +57,62 @@ def _overwrite(rows: DataFrame, path: str) -> None:
     )
 
 
+def bucket_files(spark: SparkSession, path: str, buckets: Sequence[int] | str | None = None) -> dict[int, list[int]]:
+    """File sizes by bucket, by listing the directories of the chosen buckets (all when none is listed)."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    chosen = parse_ranges(buckets) if isinstance(buckets, str) else list(buckets or [])
+    out = {}
+    for directory in files.listStatus(root):
+        name, _, number = directory.getPath().getName().partition("=")
+        if name == BUCKET and (not chosen or int(number) in chosen):
+            inside = [f for f in files.listStatus(directory.getPath()) if not f.getPath().getName().startswith(("_", "."))]
+            out[int(number)] = [f.getLen() for f in inside]
+    return out
+
+
+def advisory_bytes(spark: SparkSession) -> int:
+    """``spark.sql.adaptive.advisoryPartitionSizeInBytes`` as a number."""
+    text = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
+_RESULT = "rewritten_buckets int, files_before long, bytes_before long, files_after long, bytes_after long"
+
+
+def _result(spark: SparkSession, rewritten: int, before: dict[int, list[int]], after: dict[int, list[int]]) -> DataFrame:
+    counts = [x for sizes in (before, after) for x in (sum(map(len, sizes.values())), sum(map(sum, sizes.values())))]
+    return spark.createDataFrame([(rewritten, *counts)], _RESULT)
+
+
 def compact(
     spark: SparkSession,
     path: str,
     buckets: Sequence[int] | str | None = None,
     schema: T.StructType | None = None,
-) -> None:
-    """Rewrite buckets with files near the advisory size; rows stay the same.
+    small_bytes: int | None = None,
+) -> DataFrame:
+    """Bring the files of buckets near the advisory size; rows stay the same.
 
-    Target size: ``spark.sql.adaptive.advisoryPartitionSizeInBytes``. Small buckets get one
-    file, large ones several, with no bucket tied to a single task.
+    Only buckets with two files or more below ``small_bytes`` are rewritten; without it, an eighth
+    of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, which is the target. Small buckets get
+    one file, large ones several, with no bucket tied to a single task. Returns one row:
+    ``rewritten_buckets``, and files and bytes of the chosen buckets before and after.
     """
-    _overwrite(rebalance_by_bucket(select_buckets(_stored(spark, path, schema), buckets)), path)
+    small = advisory_bytes(spark) // 8 if small_bytes is None else small_bytes
+    before = bucket_files(spark, path, buckets)
+    poor = sorted(b for b, sizes in before.items() if sum(size < small for size in sizes) > 1)
+    if poor:
+        _overwrite(rebalance_by_bucket(select_buckets(_stored(spark, path, schema), poor)), path)
+    return _result(spark, len(poor), before, bucket_files(spark, path, buckets))
+
+
+def rank_bits(files: int, columns: int) -> int:
+    """Bits of a column's rank for a table cut into so many files: 64 Z-values a file, 8 bits at least."""
+    wanted = max(8, math.ceil(math.log2(64 * max(1, files)) / columns))
+    if wanted * columns > 63:
+        raise ValueError(f"{columns} columns need {wanted} bits each, more than 63: cluster by fewer, or give bits")
+    return wanted
 
 
 def zorder(
@@ -75,23 +120,30 @@ def zorder(
     path: str,
     columns: str | Sequence[str],
     buckets: Sequence[int] | str | None = None,
-    bits: int = 8,
+    bits: int | None = None,
     files: int | None = None,
     compact_first: bool = False,
     schema: T.StructType | None = None,
-) -> None:
+) -> DataFrame:
     """Rewrite buckets so that rows close in ``columns`` share files.
 
     Rows are range-partitioned by bucket and Z-value. A row number of the scan ends the
-    range key, so that even equal rows can be spread over several files.
+    range key, so that even equal rows can be spread over several files. ``files`` follows from
+    the stored bytes and the advisory size (but is at least one a bucket), ``bits`` from
+    ``files``, if not given. Returns the row of :func:`compact`.
     """
     if compact_first:
         compact(spark, path, buckets, schema)
+    before = bucket_files(spark, path, buckets)
     stored = select_buckets(_stored(spark, path, schema), buckets)
+    if files is None:
+        files = max(1, len(before), -(-sum(map(sum, before.values())) // advisory_bytes(spark)))
+    if bits is None:
+        bits = rank_bits(files, len(cluster_columns(stored, columns)))
     keyed = with_zvalue(stored, columns, bits).withColumn(_TIE, F.monotonically_increasing_id())
     order = [BUCKET, _Z, _TIE]
-    ranged = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
-    _overwrite(ranged.sortWithinPartitions(*order).drop(_Z, _TIE), path)
+    _overwrite(keyed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop(_Z, _TIE), path)
+    return _result(spark, len(before), before, bucket_files(spark, path, buckets))
 
 
 def layout_stats(

@@ -11,9 +11,8 @@ from tidemark.functions.quantiles import cut_points, rank_column
 
 BITS_PER_BYTE = 8
 SECTOR_BYTES = 512
-# Rows a time range aims at, and the most ranges time is cut into.
+# Rows a time range aims at.
 CHUNK_ROWS = 5_000_000
-MAX_CHUNKS = 4096
 
 
 def with_previous(
@@ -28,26 +27,30 @@ def with_previous(
     A group may hold much of the table, so it is not windowed as a whole. Time is cut into
     ranges of about ``chunk_rows`` samples (of all groups); ``lag`` runs per group and
     range, and the first sample of a range takes its predecessor from a window over one row
-    per group and range. The cut points cost one pass over ``ts`` when this is called.
+    per group and range. Counting costs one pass when this is called, and the cut points of
+    several ranges another one over ``ts``.
     """
     carried = [ts, *columns]
-    total, cuts = cut_points(samples, [ts], MAX_CHUNKS)
-    chunks = max(1, min(MAX_CHUNKS, -(-total // chunk_rows)))
-    every = max(1, MAX_CHUNKS // chunks)
-    chunked = samples.withColumn("__chunk", rank_column(samples, ts, cuts[ts][every - 1 :: every] if chunks > 1 else []))
+    # A struct is never NULL and equal to one with the same NULLs: joined with a plain "=", it keeps the
+    # windows' partitioning, so the samples are shuffled once.
+    group = F.struct(*by)
+    chunks = max(1, -(-samples.count() // chunk_rows))
+    cuts = cut_points(samples, [ts], chunks, accuracy=max(10_000, 10 * chunks))[1][ts] if chunks > 1 else []
+    chunked = samples.withColumn("__group", group)
+    chunked = chunked.withColumn("__chunk", rank_column(samples, ts, cuts))
     # Equal times are put in order by the carried columns, here and in the last sample of a range.
-    inside = Window.partitionBy(*by, "__chunk").orderBy(ts, *[c for c in columns if c != ts])
+    inside = Window.partitionBy("__group", "__chunk").orderBy(ts, *[c for c in columns if c != ts])
     lagged = chunked.select(
         "*", *[F.lag(c).over(inside).alias(f"__in_{c}") for c in carried], F.row_number().over(inside).alias("__rn")
     )
     if chunks == 1:
         return lagged.select(*samples.columns, *[F.col(f"__in_{c}").alias(f"prev_{c}") for c in carried])
-    lasts = chunked.groupBy(*by, "__chunk").agg(F.max(F.struct(*carried)).alias("__last"))
-    across = Window.partitionBy(*by).orderBy("__chunk")
-    before = lasts.select(*by, "__chunk", F.lag("__last").over(across).alias("__before"))
+    lasts = chunked.groupBy("__group", "__chunk").agg(F.max(F.struct(*carried)).alias("__last"))
+    across = Window.partitionBy("__group").orderBy("__chunk")
+    before = lasts.select("__group", "__chunk", F.lag("__last").over(across).alias("__before"))
     joined = lagged.alias("l").join(
         before.alias("b"),
-        [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*by, "__chunk")],
+        [F.col(f"l.{c}") == F.col(f"b.{c}") for c in ("__group", "__chunk")],
         "left_outer",
     )
     first = F.col("__rn") == 1

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.buckets import (
@@ -716,6 +716,70 @@ def _(spark, sf_dir):
     return stored.read_state(spark, table, "base").drop(BUCKET)
 
 
+@checked("compact_result", "select 16 as rewritten_buckets, true as fewer_files, count(*) as row_count from orders")
+def _(spark, sf_dir):
+    """Two loads leave two files in a bucket or more; compaction reports what it has rewritten."""
+    table = _new_table(spark, "compacted")
+    orders = load(spark, sf_dir, "orders")
+    stored.create_state(spark, orders.where("o_orderkey % 2 = 0"), table)
+    odd = table.bucketed(orders.where("o_orderkey % 2 = 1"))
+    odd.write.mode("append").partitionBy(BUCKET).parquet(table.base_path)
+    done = stored.compact_state(spark, table)
+    rows = stored.read_state(spark, table, "base").agg(F.count(F.lit(1)).alias("row_count"))
+    fewer = (F.col("files_after") < F.col("files_before")).alias("fewer_files")
+    # One row each.
+    return done.select("rewritten_buckets", fewer, F.lit(rows.first()[0]).alias("row_count"))
+
+
+@checked(
+    "zorder_result",
+    f"select count(distinct {md5_bucket('l_orderkey')}) as rewritten_buckets, true as has_files, true as has_bytes from lineitem",
+)
+def _(spark, sf_dir):
+    """The table's own cluster columns, and what the rewrite reports."""
+    table = StateTable(scratch_dir(spark, "clustered"), ("l_orderkey",), 16, "md5", cluster_by=("l_partkey", "l_shipdate"))
+    stored.create_state(spark, load(spark, sf_dir, "lineitem"), table)
+    done = stored.zorder_state(spark, table)
+    return done.select(
+        F.col("rewritten_buckets").cast("long").alias("rewritten_buckets"),
+        (F.col("files_after") >= F.col("rewritten_buckets")).alias("has_files"),
+        (F.col("bytes_after") > 0).alias("has_bytes"),
+    )
+
+
+@checked("zorder_text", "select count(*) as row_count, cast(0 as bigint) as inversions, true as separated from customer")
+def _(spark, sf_dir):
+    """Names with a long common start still get many Z-values, in their order."""
+    customer = load(spark, sf_dir, "customer")
+    ranked = layout.with_zvalue(customer, ["c_name"]).groupBy("__z").agg(
+        F.min("c_name").alias("low"), F.max("c_name").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    # One row per Z-value, of which there are 256 at most.
+    before = F.lag("high").over(Window.orderBy("__z"))
+    return ranked.withColumn("wrong", before >= F.col("low")).agg(
+        F.sum("n").alias("row_count"),
+        F.count(F.when(F.col("wrong"), 1)).alias("inversions"),
+        (F.count(F.lit(1)) >= F.least(F.lit(100), F.sum("n") / 4)).alias("separated"),
+    )
+
+
+@checked(
+    "log_expired",
+    f"{UPSERT_SQL}",
+)
+def _(spark, sf_dir):
+    """Two logged batches, the first folded and expired: the snapshot is that of the whole log."""
+    table = _new_table(spark, "expired")
+    stored.create_state(spark, _state(spark, sf_dir), table)
+    changes = _changes(spark, sf_dir)
+    late = F.col("o_orderkey") % 3 == 0
+    stored.append_changes(spark, table, changes.where(~late), 0)
+    stored.append_changes(spark, table, changes.where(late), 1)
+    stored.fold_log(spark, table, upto=0)
+    stored.expire_log(spark, table)
+    return stored.read_state(spark, table).drop(BUCKET)
+
+
 @checked(
     "zorder_value",
     "select o_orderkey, o_custkey, cast("
@@ -808,15 +872,25 @@ def _(spark, sf_dir):
     return live.select("user_id", "event_id", "event_type", "value", "ts")
 
 
-@checked("stream_progress", f"with c as ({CHANGES_SQL}) select count(*) as input_rows from c")
+@checked("stream_progress", f"with c as ({CHANGES_SQL}) select count(*) as input_rows, true as batches_complete from c")
 def _(spark, sf_dir):
+    """Every input row is in one of the reported batches, whose numbers have no gap."""
     log = scratch_dir(spark, "log")
     write_changes(_changes(spark, sf_dir), log, KEY, 16, "md5")
-    options = MergeOptions(checkpoint=scratch_dir(spark, "checkpoint"), sink="noop", trigger="available-now")
+    options = MergeOptions(
+        checkpoint=scratch_dir(spark, "checkpoint"), sink="noop", trigger="available-now", max_files_per_trigger=4
+    )
     table = _new_table(spark, "progress")
-    query = streams.run_changes(spark, log, _state(spark, sf_dir).schema, table, options)
-    query.awaitTermination()
-    return streams.progress_frame(spark, query).agg(F.sum("input_rows").alias("input_rows"))
+    batches = streams.ProgressLog()
+    spark.streams.addListener(batches)
+    try:
+        query = streams.run_changes(spark, log, _state(spark, sf_dir).schema, table, options)
+        query.awaitTermination()
+        frame = streams.progress_frame(spark, query, batches)
+    finally:
+        spark.streams.removeListener(batches)
+    complete = F.countDistinct("batch_id") == F.max("batch_id") + 1
+    return frame.agg(F.sum("input_rows").alias("input_rows"), complete.alias("batches_complete"))
 
 
 @checked("read_change_log", f"with c as ({CHANGES_SQL}) select _op, count(*) as row_count from c group by 1")

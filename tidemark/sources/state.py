@@ -1,9 +1,10 @@
 """Stored state: copy-on-write base, merge-on-read log, and views over both.
 
 Layout under ``path``: ``base/_bucket=b/`` holds the folded state, ``log/_batch_id=n/`` one
-directory per appended batch, ``folded/`` the number of the last batch folded into the base,
-``schema/`` an empty file with the declared schema of the base, so that no read has to look
-into data files for it.
+directory per appended batch and in it one per bucket, ``folded/`` the number of the last batch
+folded into the base, ``schema/`` an empty file with the declared schema of the base, so that no
+read has to look into data files for it. The schema also carries the table's settings, and
+opening a table with others is an error: rows would be looked for in the wrong buckets.
 
 Re-running any write repairs a torn one: a batch overwrites its own log directory, and
 applying the same folded changes again gives the same state.
@@ -11,8 +12,9 @@ applying the same folded changes again gives the same state.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -54,9 +56,11 @@ class StateTable:
     delete_mode: str = "hard"
     order_by: tuple[str, ...] = DEFAULT_ORDER
     guard_col: str | None = None
+    cluster_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "keys", tuple(self.keys))
+        object.__setattr__(self, "cluster_by", tuple(self.cluster_by))
         object.__setattr__(self, "order_by", tuple(self.order_by))
         one_of("delete_mode", self.delete_mode, DELETE_MODES)
         if self.buckets <= 0:
@@ -107,15 +111,34 @@ def _data_fields(schema: T.StructType) -> list[T.StructField]:
     return [f for f in schema.fields if f.name != BUCKET]
 
 
+#: Metadata entry of the first declared column that holds the table's settings.
+SETTINGS = "tidemark.table"
+
+
+def _settings(table: StateTable) -> dict:
+    own = asdict(table)
+    del own["path"], own["cluster_by"]  # neither says where a row is
+    return json.loads(json.dumps(own))
+
+
 def declare_schema(spark: SparkSession, table: StateTable, schema: T.StructType) -> None:
-    """Record the base schema (without the bucket, which the directories carry)."""
-    _empty(spark, T.StructType(_data_fields(schema)), table.schema_path)
+    """Record the base schema (without the bucket, which the directories carry) and the table's settings."""
+    first, *rest = _data_fields(schema)
+    noted = {**first.metadata, SETTINGS: json.dumps(_settings(table))}
+    first = T.StructField(first.name, first.dataType, first.nullable, noted)
+    _empty(spark, T.StructType([first, *rest]), table.schema_path)
 
 
 def base_schema(spark: SparkSession, table: StateTable) -> T.StructType:
-    """Declared schema of the base, bucket last."""
-    declared = spark.read.parquet(table.schema_path).schema
-    return T.StructType(declared.fields + [T.StructField(BUCKET, T.IntegerType())])
+    """Declared schema of the base, bucket last; fails if the table was made with other settings."""
+    first, *rest = spark.read.parquet(table.schema_path).schema.fields
+    noted = dict(first.metadata)
+    made, asked = json.loads(noted.pop(SETTINGS, "{}")), _settings(table)
+    if other := {name: (value, asked[name]) for name, value in made.items() if value != asked[name]}:
+        told = ", ".join(f"{name} {was!r}, not {now!r}" for name, (was, now) in other.items())
+        raise ValueError(f"the table at {table.path} has {told}")
+    first = T.StructField(first.name, first.dataType, first.nullable, noted)
+    return T.StructType([first, *rest, T.StructField(BUCKET, T.IntegerType())])
 
 
 def _base(spark: SparkSession, table: StateTable, buckets: Sequence[int] | str | None) -> DataFrame:
@@ -137,6 +160,29 @@ def folded_upto(spark: SparkSession, table: StateTable) -> int:
     return spark.read.parquet(table.folded_path).agg(F.max(BATCH_ID)).first()[0]
 
 
+def logged_batches(spark: SparkSession, table: StateTable) -> list[int]:
+    """Numbers of the batches in the log, folded ones included, by the names of their directories."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(table.log_path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{BATCH_ID}="))
+
+
+def expire_log(spark: SparkSession, table: StateTable) -> list[int]:
+    """Delete the logged batches that are folded into the base, and return their numbers.
+
+    No view reads them any more, and reads and streams no longer list them. Numbers are not
+    given out again: the marker of the last folded batch stays.
+    """
+    folded = [n for n in logged_batches(spark, table) if n <= folded_upto(spark, table)]
+    for n in folded:
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{table.log_path}/{BATCH_ID}={n}")
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return folded
+
+
 def read_log(
     spark: SparkSession, table: StateTable, as_of: int | None = None, unfolded_only: bool = True
 ) -> DataFrame | None:
@@ -159,7 +205,9 @@ def read_state(
 ) -> DataFrame:
     """State as stored (``base``) or with the logged changes applied (``snapshot``).
 
-    ``as_of`` stops the snapshot after that batch. Bucket and batch choices prune files.
+    ``as_of`` stops the snapshot after that batch. Bucket and batch choices prune files. Only
+    the buckets that the log has changes for are merged; the others are read as they are. The
+    driver gets the numbers of those buckets.
     """
     view = one_of("view", view, ("snapshot", "base"))
     base = _base(spark, table, buckets)
@@ -171,7 +219,15 @@ def read_state(
     if log is None:
         return base
     log = select_buckets(log, buckets).drop(BATCH_ID)
-    return _merge(base, log, table, deleted_at)
+    touched = sorted(r[0] for r in log.select(BUCKET).distinct().collect())
+    if not touched:
+        return base
+    chosen = F.col(BUCKET).isin(touched)
+    merged = _merge(base.where(chosen), log.where(chosen), table, deleted_at)
+    if len(touched) == table.buckets:
+        return merged
+    others = base.where(~chosen)
+    return merged.unionByName(with_delete_flags(others) if table.delete_mode == "soft" else others)
 
 
 def _merge(base: DataFrame, changes: DataFrame, table: StateTable, deleted_at: Column | None) -> DataFrame:
@@ -183,6 +239,7 @@ def _merge(base: DataFrame, changes: DataFrame, table: StateTable, deleted_at: C
         order_by=table.order_by,
         guard_col=table.guard_col,
         deleted_at=deleted_at,
+        null_safe=False,  # no bucket has a row without a key
     )
 
 
@@ -213,8 +270,8 @@ def replace_buckets(
 def broadcast_limit(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative when broadcasts are off."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-    number, unit = text.rstrip("bkmgt"), text.lstrip("-0123456789")
-    return int(number) * {"": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}[unit.rstrip("b")]
+    number, unit = text.rstrip("bkmgtp"), text.lstrip("-0123456789")
+    return int(number) * {"": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40, "p": 2**50}[unit.rstrip("b")]
 
 
 def _key_size(df: DataFrame, keys: Sequence[str]) -> Column:
@@ -264,6 +321,7 @@ def write_state(
             delete_mode=table.delete_mode,
             guard_col=table.guard_col,
             deleted_at=deleted_at,
+            null_safe=False,  # no bucket has a row without a key
             small=small,
         )
         merged = kept.unionByName(rebalance_by_bucket(added) if small else added)
@@ -278,16 +336,15 @@ def append_changes(spark: SparkSession, table: StateTable, changes: DataFrame, b
 
     Columns the base does not declare are stored, but not read until it does.
     """
-    rows = table.bucketed(changes)
-    rebalance_by_bucket(rows).write.mode("overwrite").parquet(f"{table.log_path}/{BATCH_ID}={int(batch_id)}")
+    rows = rebalance_by_bucket(table.bucketed(changes))
+    # The whole batch is replaced, whatever the session's overwrite mode.
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(BUCKET).parquet(f"{table.log_path}/{BATCH_ID}={int(batch_id)}")
 
 
 def next_batch_id(spark: SparkSession, table: StateTable) -> int:
     """First batch number no logged or folded batch has."""
-    last = folded_upto(spark, table)
-    log = read_log(spark, table, unfolded_only=False)
-    logged = None if log is None else log.agg(F.max(BATCH_ID)).first()[0]
-    return max(last, -1 if logged is None else logged) + 1
+    return max([folded_upto(spark, table), *logged_batches(spark, table)]) + 1
 
 
 def stream_offset(spark: SparkSession, table: StateTable, stream_id: str) -> int:
@@ -304,14 +361,19 @@ def stream_offset(spark: SparkSession, table: StateTable, stream_id: str) -> int
     return offset
 
 
-def compact_state(spark: SparkSession, table: StateTable, buckets: Sequence[int] | str | None = None) -> None:
-    """Compact the base, or some of its buckets."""
-    layout.compact(spark, table.base_path, buckets, base_schema(spark, table))
+def compact_state(spark: SparkSession, table: StateTable, buckets: Sequence[int] | str | None = None) -> DataFrame:
+    """Compact the base, or some of its buckets; see :func:`tidemark.operators.layout.compact`."""
+    return layout.compact(spark, table.base_path, buckets, base_schema(spark, table))
 
 
-def zorder_state(spark: SparkSession, table: StateTable, columns: str | Sequence[str], **how) -> None:
-    """Z-order the base; see :func:`tidemark.operators.layout.zorder`."""
-    layout.zorder(spark, table.base_path, columns, schema=base_schema(spark, table), **how)
+def zorder_state(
+    spark: SparkSession, table: StateTable, columns: str | Sequence[str] | None = None, **how
+) -> DataFrame:
+    """Z-order the base, by the table's ``cluster_by`` if no columns are given; see :func:`tidemark.operators.layout.zorder`."""
+    columns = columns or table.cluster_by
+    if not columns:
+        raise ValueError("no columns to cluster by, and the table names none")
+    return layout.zorder(spark, table.base_path, columns, schema=base_schema(spark, table), **how)
 
 
 def fold_log(
@@ -320,13 +382,14 @@ def fold_log(
     """Apply logged batches up to ``upto`` to the base; returns the last batch folded.
 
     The marker is written after the base: a failure in between only means that the batches
-    are applied once more.
+    are applied once more. :func:`expire_log` then removes the folded batches.
     """
-    log = read_log(spark, table, upto)
-    last = None if log is None else log.agg(F.max(BATCH_ID)).first()[0]
+    done = folded_upto(spark, table)
+    last = max((n for n in logged_batches(spark, table) if n > done and (upto is None or n <= upto)), default=None)
     if last is None:
-        return folded_upto(spark, table)
-    write_state(spark, table, log.where(F.col(BATCH_ID) <= last).drop(BATCH_ID), deleted_at)
+        return done
+    log = read_log(spark, table, last)
+    write_state(spark, table, log.drop(BATCH_ID), deleted_at)
     spark.createDataFrame([(last,)], f"{BATCH_ID} int").coalesce(1).write.mode("overwrite").parquet(table.folded_path)
     return last
 

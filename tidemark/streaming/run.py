@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.operators.merge import apply_updates
 from tidemark.plans.jobs import merge_once
@@ -160,12 +162,44 @@ def run_backfill(
     )
 
 
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent batches of a stream: id, input rows, duration and rate."""
-    rows = [
-        (p["batchId"], p["timestamp"], int(p["numInputRows"]), int(p["durationMs"].get("triggerExecution", 0)))
-        for p in map(_as_dict, query.recentProgress)
-    ]
+class ProgressLog(StreamingQueryListener):
+    """Notes every batch of the session's streams; a query itself only remembers its last ones.
+
+    Register it before the streams start: ``spark.streams.addListener(log)``. One small row
+    per batch stays on the driver until :meth:`forget`.
+    """
+
+    def __init__(self) -> None:
+        self._batches: dict[str, list] = defaultdict(list)
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._batches[str(event.progress.runId)].append(_batch_row(event.progress))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def batches(self, query: StreamingQuery, timeout: float = 60) -> list[tuple]:
+        """Rows of all batches so far; of a stream that has ended, not before its last one has been told."""
+        run = str(query.runId)
+        if not query.isActive and not self._ended[run].wait(timeout):
+            raise TimeoutError("the end of the stream was not reported")
+        return list(self._batches[run])
+
+    def forget(self, query: StreamingQuery) -> None:
+        """Drop the rows of a stream."""
+        self._batches.pop(str(query.runId), None)
+
+
+def progress_frame(spark: SparkSession, query: StreamingQuery, log: ProgressLog | None = None) -> DataFrame:
+    """Batches of a stream: id, input rows, duration and rate. All with a ``log``, else the recent ones Spark keeps."""
+    rows = [_batch_row(p) for p in query.recentProgress] if log is None else log.batches(query)
     frame = spark.createDataFrame(rows, "batch_id bigint, started string, input_rows bigint, duration_ms bigint")
     seconds = F.col("duration_ms") / 1000.0
     return frame.withColumn(
@@ -173,6 +207,11 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     )
 
 
+def _batch_row(progress) -> tuple:
+    p = _as_dict(progress)
+    return p["batchId"], p["timestamp"], int(p["numInputRows"]), int(p["durationMs"].get("triggerExecution", 0))
+
+
 def _as_dict(progress) -> dict:
     if isinstance(progress, dict):
         return progress
