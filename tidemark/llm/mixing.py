@@ -28,6 +28,9 @@ PERIOD = 1024
 #: Documents of a source that are numbered in one task.
 RUN_ROWS = 1 << 11
 
+#: Most slots of all patterns together that are sent to every task (16 MB); a longer plan is joined by a shuffle.
+PLAN_SLOTS = 1 << 22
+
 
 class Phase(NamedTuple):
     """A stretch of the schedule with fixed shares: block ``first + j`` of a source has slot
@@ -118,7 +121,9 @@ def mix_sources(
     Documents without a source form a source of their own, named by null (in ``weights``: ""). Rows
     that are equal in id are ordered anyhow. An empty table gives no rows.
 
-    The driver sees one count per source, and works on one period per source that runs out. A
+    The driver sees one count per source, and works on one period per source that runs out: with
+    ``n`` sources of different length, about ``16 * n ** 2`` slots. Sources are meant to be a list
+    that people weigh, of up to about a thousand. The plan is broadcast up to ``PLAN_SLOTS``. A
     source is numbered in runs of about ``RUN_ROWS`` documents by ranges of the hash, so that no
     task holds a large source.
     """
@@ -139,7 +144,7 @@ def mix_sources(
     )
     # One row per source, as the driver has counted them.
     keyed = docs.withColumn("__source", name).withColumn("__key", F.shiftrightunsigned(hashed, 33))
-    keyed = keyed.join(F.broadcast(sizes), "__source")
+    keyed = keyed.join(F.broadcast(sizes) if len(counts) < PLAN_SLOTS // 64 else sizes, "__source")
     keyed = keyed.withColumn("__run", F.floor(F.col("__key") * F.col("__runs") / F.lit(1 << 31)).cast("int"))
     # A row per run: the documents of the source before it.
     runs = keyed.groupBy("__source", "__run").agg(F.count(F.lit(1)).alias("__n"))
@@ -163,7 +168,8 @@ def _scheduled(placed: DataFrame, phases: list[Phase]) -> DataFrame:
     kind = "array<struct<base:long,source:string,first:long,last:long,share:long,period:long,pattern:array<int>>>"
     plan = spark.createDataFrame(rows, f"__source string, __phases {kind}")
     # The plan's size follows from the weights: one period for each source and phase.
-    joined = placed.join(F.broadcast(plan), "__source")
+    slots = sum(len(p.pattern) for p in phases)
+    joined = placed.join(F.broadcast(plan) if slots <= PLAN_SLOTS else plan, "__source")
     mine = F.filter("__phases", lambda p: (p["first"] <= F.col("block")) & (F.col("block") <= p["last"]))
     joined = joined.withColumn("__phase", F.get(mine, F.lit(0)))
     phase = F.col("__phase")
