@@ -31,7 +31,9 @@ BAND = 4
 STEP = 16
 #: Buckets up to this size give pairs; larger ones go to blocks.
 SMALL_BUCKET = 32
+#: Members of a tile, and their shingles together (8 bytes each): long texts fill a tile sooner.
 TILE = 512
+TILE_SHINGLES = 1 << 21
 
 _SIGNED = "__doc long, __size int, __set1 long, __set2 long, __sig binary"
 _MULTIPLY = mix(np.arange(1, HASHES + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
@@ -294,7 +296,7 @@ def near_duplicates(
         & (F.col("s.__set2") == F.col("c.__set2")),
     )
     one = F.row_number().over(Window.partitionBy("__doc").orderBy("s.__set1", "s.__set2"))
-    kept = kept.select("__doc", "s.__set1", "__copies", "__sig", one.alias("__one")).where(F.col("__one") == 1)
+    kept = kept.select("__doc", "s.__set1", "__size", "__copies", "__sig", one.alias("__one")).where(F.col("__one") == 1)
     kept = stored(kept.drop("__one"), "class-signatures")
 
     raw = BAND * 2
@@ -321,12 +323,13 @@ def near_duplicates(
     many = members.where(F.col("__n") > SMALL_BUCKET).select(F.col("__least").alias("__a"), F.col("__doc").alias("__b"))
     block = components(likely.unionByName(many.where(F.col("__a") != F.col("__b"))), "__a", "__b")
 
-    sizes = block.groupBy("root").agg(F.count(F.lit(1)).alias("__n"))
-    tiles = F.ceil(F.col("__n") / TILE).cast("int")
+    sized = block.join(kept.select(F.col("__doc").alias("node"), "__size"), "node")
+    sizes = sized.groupBy("root").agg(F.count(F.lit(1)).alias("__n"), F.sum("__size").alias("__all"))
+    tiles = F.ceil(F.greatest(F.col("__n") / TILE, F.col("__all") / TILE_SHINGLES)).cast("int")
     inside = block.join(stored(sizes, "block-sizes"), "root").select(
         F.col("node").alias("__doc"), F.col("root").alias("__block"), tiles.alias("__tiles")
     )
-    inside = stored(inside.join(kept, "__doc"), "block-members")
+    inside = stored(inside.join(kept.drop("__size"), "__doc"), "block-members")
     full = texts.join(inside, "__doc").select("__doc", "__set1", "__block", "__tiles", "__copies", "__sig", "__text")
     kind = "__doc long, __block long, __tiles int, __copies long, __sig binary, __set binary"
     full = full.mapInArrow(_shingle_sets(width), kind)
