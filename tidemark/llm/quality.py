@@ -124,7 +124,8 @@ def quality_rules(
     ``trusted`` names trusted documents by ``id_col``. Ratios are whole numbers of 1/1,000,000, so sums
     do not depend on their order and equal texts get equal verdicts. Null texts count as empty,
     and so fail; documents without an id are judged like others but are never trusted; an empty
-    table gives no rows. The texts are not shuffled: scores are summed by id and text hash.
+    table gives no rows. Scores are summed by a hash of id and text; documents are shuffled by it,
+    with the columns that the caller keeps, only where the scores are too many to broadcast.
     """
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
     docs = docs.drop(*added)
