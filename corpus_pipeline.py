@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -32,16 +32,26 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("kept").select("__all.*")
 
 
+def _set_apart(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns an operator works on, and all others in one, so that none has a name that it adds."""
+    rest = [c for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(*rest).alias("__rest")) if rest else docs.select(*used)
+
+
+def _own(column: str, *used: str) -> Column:
+    return F.col(column if column in used else f"__rest.`{column}`")
+
+
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document has too; those that lose all have an empty text."""
-    cut = lines.drop_shared_lines(docs, max_docs=1, min_length=10)
+    cut = lines.drop_shared_lines(_set_apart(docs, "doc_id", "text"), max_docs=1, min_length=10)
     text = F.coalesce("kept_text", F.lit(""))
     changed = F.col("n_dropped") > 0
     new = {"text": F.when(changed, text).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         count = F.char_length(text).cast(docs.schema["n_chars"].dataType)
-        new["n_chars"] = F.when(changed, count).otherwise(F.col("n_chars"))
-    return cut.withColumns(new).select(*docs.columns)
+        new["n_chars"] = F.when(changed, count).otherwise(F.col("__rest.n_chars"))
+    return cut.select(*[new.get(c, _own(c, "doc_id")).alias(c) for c in docs.columns])
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +63,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, stored in the order of a mix of sources by the square root of their size."""
-    mixed = mixing.mix_sources(docs, block_rows=16, power=0.5)
+    mixed = mixing.mix_sources(_set_apart(docs, "doc_id", "source"), block_rows=16, power=0.5)
     order = ["slot", "place"]
-    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    ordered = mixed.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ordered.select(*[_own(c, "doc_id", "source").alias(c) for c in docs.columns])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import checked, jaccard, langid, licenses, lines, lm, mixing, packing, quality, substring, topk
-from tests.conftest import DATA
+from tests.conftest import DATA, DATA_10X
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_words long, label string"
@@ -166,6 +166,8 @@ def test_base_scores_and_held_out_gain(spark):
         base = sum(math.log10((count[w] + 1) / (n + v + 1)) for w in tokens[r["doc_id"]])
         assert r["base_score"] == pytest.approx(base) and r["train_tokens"] == n
         assert r["n_known"] == sum(count[w] > 0 for w in tokens[r["doc_id"]])
+    held = [r for r in checked.op6_lm_score(spark, DATA_10X).collect() if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
 def test_quality_counts_and_verdicts(spark):
@@ -178,6 +180,9 @@ def test_quality_counts_and_verdicts(spark):
         covered = {i + k for p in at.values() if len(p) > 1 for i in p for k in range(3)}
         r = rows[d["doc_id"]]
         assert (r["n_words"], r["n_repeat_words"]) == (len(words), len(covered))
+        worded = [x for x in (d["text"] or "").split("\n") if WORD.search(x)]
+        assert (r["word_chars"], r["n_dup_lines"]) == (len("".join(words)), len(worded) - len(set(worded)))
+        assert r["n_symbols"] == len(re.findall(r"[#*$%&|<>]", d["text"] or ""))
         if d["doc_id"] in labels and not r["base_failed"]:
             assert r["kept"] == (labels[d["doc_id"]]["quality"] == 1)
     # A filter on the verdict must not copy the steps into each other.
@@ -203,17 +208,137 @@ def test_bayes_bounds_keep_likely_pairs():
     assert not jaccard.bayes_keep(left, far, least).any()
 
 
-def test_pipeline_against_its_parts(spark):
+def _fold(text):
+    return text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+
+
+def _without_shared_lines(texts):
+    """Texts by id without the lines (keys of 10 code points or more) that a smaller id has too."""
+    first, out = {}, {}
+    for doc in sorted(texts):
+        stay = []
+        for line in texts[doc].split("\n"):
+            key = _fold(line.strip(" \t\n\x0b\f\r"))
+            if len(key) < 10 or first.setdefault(key, doc) == doc:
+                stay.append(line)
+        out[doc] = "\n".join(stay)
+    return out
+
+
+def _near_groups(texts):
+    """Smallest id that links of at least 0.8 lead to, by comparing all pairs that share a shingle."""
+    sets, holders = {}, collections.defaultdict(list)
+    for doc, text in texts.items():
+        words = WORD.findall(_fold(text))
+        sets[doc] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+        for shingle in sets[doc]:
+            holders[shingle].append(doc)
+    both = collections.Counter((a, b) for docs in holders.values() for a in docs for b in docs if a < b)
+    group = {doc: doc for doc in texts}
+    changed = True
+    while changed:
+        changed = False
+        for (a, b), n in both.items():
+            if 5 * n >= 4 * (len(sets[a]) + len(sets[b]) - n) and group[a] != group[b]:
+                group[a] = group[b] = min(group[a], group[b])
+                changed = True
+    return group
+
+
+def test_pipeline_against_brute_force(spark):
     import corpus_pipeline
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
+    kept = {r["doc_id"] for r in checked.op7_quality_rules(spark, DATA_10X).collect() if r["kept"]}
+    docs = spark.read.parquet(f"{DATA_10X}/documents.parquet").collect()
+    texts = _without_shared_lines({d["doc_id"]: d["text"] for d in docs if d["doc_id"] in kept})
+    texts = {doc: texts[doc] for doc, group in _near_groups(texts).items() if doc == group}
+    assert 0 < len(texts) < len(kept)
+    tokenizer = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    pieces = collections.Counter()
+    for doc, text in texts.items():
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        for at in range(0, len(ids), 1024):
+            piece = ids[at : at + 1024]
+            pieces[doc, at, len(piece), zlib.crc32(piece.tobytes()), len(ids)] += 1
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    rows = corpus_pipeline.run(spark, DATA_10X).collect()
+    assert collections.Counter(tuple(r[c] for c in columns) for r in rows) == pieces
+
 
-    rows = corpus_pipeline.run(spark, DATA).collect()
-    kept = {r["doc_id"] for r in checked.op7_quality_rules(spark, DATA).collect() if r["kept"]}
-    assert {r["doc_id"] for r in rows} <= kept
+@pytest.fixture(scope="module")
+def clashing(odd):
+    """Odd documents with columns named like those that the stages' operators add."""
+    names = ["block", "slot", "place", "n_lines", "kept_text", "kept", "class_id", "start", "n_chars"]
+    return odd.selectExpr("*", *[f"n_words as {n}" for n in names])
+
+
+@pytest.mark.parametrize("at", range(5))
+def test_stages_on_odd_documents(spark, clashing, at):
+    import corpus_pipeline
+
+    name, stage = corpus_pipeline.STAGES[at]
+    out = stage(spark, clashing, DATA)
+    assert stage(spark, clashing.limit(0), DATA).count() == 0
+    if name == "packing":
+        assert {r["doc_id"] for r in out.collect()} == {None, *range(1, 10)}
+        return
+    assert out.columns == clashing.columns
+    given = collections.Counter(tuple(r) for r in clashing.drop("text", "n_chars").collect())
+    left = collections.Counter(tuple(r) for r in out.drop("text", "n_chars").collect())
+    assert left <= given  # whole rows, with their own values in the clashing columns
+    if name in ("line_dedup", "source_mixing"):
+        assert left == given
+    if name == "ngram_jaccard":  # one of the copies of document 1; those without words or id all stay
+        assert {r[0] for r in left} == {None, 1, 3, 4, 5, 6, 8, 9}
+    if name == "line_dedup":
+        text = {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()}
+        assert text[2] == ("", 0) and text[3] == (None, 1) and text[1] == (" ".join(f"word{i}" for i in range(60)), 7)
+
+
+def test_long_texts_fill_tiles_sooner(spark, monkeypatch):
+    """Small tiles give the same groups and links."""
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, DATA)
-        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    assert {r["doc_id"] for r in docs.collect()} == {r["doc_id"] for r in rows}
+    whole = sorted(map(tuple, jaccard.near_duplicates(docs).collect()))
+    monkeypatch.setattr(jaccard, "TILE_SHINGLES", 300)
+    assert sorted(map(tuple, jaccard.near_duplicates(docs).collect())) == whole
+
+
+def test_mixed_rows_keep_their_sources_shares(spark):
+    """Every document once; blocks are whole, within their release and deadline, and one for each slot."""
+    docs = {r["doc_id"]: r["source"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    rows = checked.op10_mix_sources(spark, DATA).collect()
+    assert {r["doc_id"]: r["source"] for r in rows} == docs and len(rows) == len(docs)
+    by_slot = collections.defaultdict(list)
+    for r in rows:
+        by_slot[r["slot"]].append(r)
+        assert r["release"] <= r["slot"] < r["deadline"]
+    assert sorted(by_slot) == list(range(len(by_slot)))
+    size, numbers = collections.Counter(docs.values()), collections.defaultdict(list)
+    for slot in sorted(by_slot):
+        block = by_slot[slot]
+        assert len({(r["source"], r["block"]) for r in block}) == 1
+        assert sorted(r["place"] for r in block) == list(range(len(block)))
+        numbers[block[0]["source"]].append(block[0]["block"])
+    assert {s: b for s, b in numbers.items()} == {s: list(range(-(-n // 16))) for s, n in size.items()}
+
+
+def test_licence_base_places(spark):
+    """The base by brute force; the method only adds labels."""
+    phrases = {("cc", "by"): "cc-by", ("general", "public", "license"): "gpl", ("all", "rights", "reserved"): "reserved"}
+    rows = {r["doc_id"]: r for r in checked.op8_license_scan(spark, DATA_10X).collect()}
+    docs = spark.read.parquet(f"{DATA_10X}/documents.parquet").collect()
+    assert len(rows) == len(docs)
+    for d in docs:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", _fold(d["text"] or ""))
+        at = [(i, label) for i in range(len(words)) for p, label in phrases.items() if tuple(words[i : i + len(p)]) == p]
+        starts, labels = [i for i, _ in at], sorted({label for _, label in at})
+        r = rows[d["doc_id"]]
+        assert (r["n_words"], r["n_base"], r["base_labels"]) == (len(words), len(at), ",".join(labels))
+        assert (r["first_word"], r["last_word"]) == (min(starts, default=None), max(starts, default=None))
+        assert set(labels) <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1
 
 
 @pytest.mark.parametrize("name", sorted(checked.ORACLES))
