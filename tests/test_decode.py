@@ -178,10 +178,10 @@ def test_key_bytes_by_type(spark):
 
 def test_null_key_is_an_error(spark):
     df = spark.createDataFrame([(None,)], "k int")
-    with pytest.raises(Exception, match="primary key column is null: k"):
+    with pytest.raises(Exception, match="no value in its key column k"):
         df.select(key_bytes(df, ["k"])).collect()
     for fn in ("xxhash64", "md5", "murmur3", "key_bytes"):
-        with pytest.raises(Exception, match="primary key column is null: k"):
+        with pytest.raises(Exception, match="no value in its key column k"):
             buckets.with_bucket(df, ["k"], 4, fn).collect()
     assert 0 <= buckets.with_bucket(df, ["k"], 4, "spark_hash").first()["_bucket"] < 4
 
@@ -216,5 +216,5 @@ def test_ranges():
     assert buckets.parse_ranges(" 0-3, 8,3 ") == [0, 1, 2, 3, 8]
     assert buckets.parse_ranges(None) == []
     for bad in ("3-1", "-3", "3-", "1-2-3", "x"):
-        with pytest.raises(ValueError, match="invalid bucket range"):
+        with pytest.raises(ValueError, match="neither a bucket number"):
             buckets.parse_ranges(bad)

@@ -91,10 +91,10 @@ def parse_ranges(text: str | None) -> list[int]:
             continue
         bounds = [b.strip() for b in part.split("-")]
         if len(bounds) > 2 or not all(b.isdigit() for b in bounds):
-            raise ValueError(f"invalid bucket range: {part}")
+            raise ValueError(f"{part!r} is neither a bucket number nor low-high")
         low, high = int(bounds[0]), int(bounds[-1])
         if high < low:
-            raise ValueError(f"invalid bucket range: {part}")
+            raise ValueError(f"{part!r} is neither a bucket number nor low-high")
         chosen.update(dict.fromkeys(range(low, high + 1)))
     return list(chosen)
 

@@ -74,7 +74,7 @@ def value_bytes(value: Column, kind: T.DataType) -> Column:
 
 def require_not_null(key: Column, name: str, result: Column) -> Column:
     """``result``, failing the query where ``key`` is NULL."""
-    return F.when(key.isNull(), F.raise_error(F.lit(f"primary key column is null: {name}"))).otherwise(result)
+    return F.when(key.isNull(), F.raise_error(F.lit(f"a row has no value in its key column {name}"))).otherwise(result)
 
 
 def key_bytes(df: DataFrame, keys: list[str] | tuple[str, ...]) -> Column:

@@ -42,6 +42,6 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     name = f"{label}-{uuid.uuid4().hex[:12]}"
     if shared:
         return f"{shared.rstrip('/')}/tidemark/{name}"
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     return os.path.join(tempfile.mkdtemp(prefix="tidemark-"), name)
