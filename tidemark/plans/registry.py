@@ -248,6 +248,17 @@ def _(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+@checked("merge_empty_batch", STATE_SQL)
+def _(spark, sf_dir):
+    """A batch without rows changes nothing."""
+    return merge.merge_changes(_state(spark, sf_dir), _changes(spark, sf_dir).where(F.lit(False)), KEY)
+
+
+@checked("business_columns", f"with c as ({CHANGES_SQL}) select {COLS} from c")
+def _(spark, sf_dir):
+    return decode.business_columns(_changes(spark, sf_dir))
+
+
 @checked(
     "route_noop_buckets",
     f"""with c as ({CHANGES_SQL}), b as (select {md5_bucket('o_orderkey')} as _bucket from c)
@@ -600,6 +611,32 @@ def _(spark, sf_dir):
     return checks.check_counts(source, loaded)
 
 
+@checked("import_soft", "select c_nationkey, count(*) as live_rows from customer group by 1")
+def _(spark, sf_dir):
+    """Imported rows of a soft-delete table are live: their flag is never NULL."""
+    rows = load(spark, sf_dir, "customer")
+    table = _new_table(spark, "import-soft", ["c_custkey"], delete_mode="soft")
+    ingest.import_table(spark, _as_csv(spark, rows), _def(rows, ("c_custkey",)), table)
+    live = stored.read_state(spark, table, "base").where(~F.col("_is_deleted"))
+    return live.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("live_rows"))
+
+
+@checked(
+    "import_append_evolved",
+    """select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       case when c_mktsegment = 'BUILDING' then 'kept' end as note from customer""",
+)
+def _(spark, sf_dir):
+    """Appending to a table with a column more than the text file leaves that column in place, NULL in new rows."""
+    rows = load(spark, sf_dir, "customer")
+    building = F.col("c_mktsegment") == "BUILDING"
+    table = _new_table(spark, "import-evolved", ["c_custkey"])
+    stored.create_state(spark, rows.where(building).withColumn("note", F.lit("kept")), table)
+    rest = rows.where(~building | building.isNull())
+    ingest.import_table(spark, _as_csv(spark, rest), _def(rows, ("c_custkey",)), table, mode="append")
+    return stored.read_state(spark, table, "base").drop(BUCKET)
+
+
 # --- stored state ----------------------------------------------------------------------
 
 
@@ -872,6 +909,40 @@ def _(spark, sf_dir):
     return live.select("user_id", "event_id", "event_type", "value", "ts")
 
 
+@checked(
+    "stream_all",
+    f"""select 'orders' as table_name, count(*) as row_count from ({UPSERT_SQL}) as o
+union all select 'users', count(*) from (
+    with c as ({EVENT_CHANGES_SQL}), f as materialized ({ranked("c", "user_id", desc("event_id"))})
+    select * from f where _op <> 'DELETE') as u""",
+)
+def _(spark, sf_dir):
+    """Two tables fed by two streams of one session: merge-on-read and guarded copy-on-write."""
+    orders, events = _state(spark, sf_dir), fixtures.event_changes(spark, sf_dir)
+    tables = {
+        "orders": _new_table(spark, "all-orders"),
+        "users": _new_table(
+            spark, "all-users", ["user_id"], delete_mode="soft", guard_col="_total_order", order_by=("_total_order",)
+        ),
+    }
+    stored.create_state(spark, orders, tables["orders"])
+    jobs = {}
+    for name, changes, sink in (("orders", _changes(spark, sf_dir), "mor"), ("users", events, "cow")):
+        log = scratch_dir(spark, "log")
+        write_changes(changes, log, list(tables[name].keys), 16, "md5")
+        options = MergeOptions(
+            target=tables[name].path, checkpoint=scratch_dir(spark, "checkpoint"), sink=sink, trigger="available-now"
+        )
+        jobs[name] = (log, changes.drop(*META).schema, tables[name], options)
+    streams.run_all(spark, jobs)
+    live = {
+        "orders": stored.read_state(spark, tables["orders"]),
+        "users": stored.read_state(spark, tables["users"], "base").where(~F.col("_is_deleted")),
+    }
+    counts = [df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for n, df in live.items()]
+    return counts[0].unionByName(counts[1])
+
+
 @checked("stream_progress", f"with c as ({CHANGES_SQL}) select count(*) as input_rows, true as batches_complete from c")
 def _(spark, sf_dir):
     """Every input row is in one of the reported batches, whose numbers have no gap."""
