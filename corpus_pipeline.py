@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,9 +70,28 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return ordered.select(*[_own(c, "doc_id", "source").alias(c) for c in docs.columns])
 
 
+def in_stored_order(docs: DataFrame) -> DataFrame:
+    """Ids and texts, with ``at_part``, ``at_file`` and ``at_line``: by these, rows are in the order they were stored in.
+
+    Spark reads files in any order, so that order is the number of the task that wrote a file, its name,
+    and the row in it. Rows that are not read from files are in the order of the frame.
+    """
+    try:
+        name, line = docs.select("_metadata.file_name", "_metadata.row_index").columns
+    except AnalysisException:
+        none = {"at_part": F.lit(0).cast("long"), "at_file": F.lit(""), "at_line": F.monotonically_increasing_id()}
+        return docs.select("doc_id", "text").withColumns(none)
+    part = F.regexp_extract(F.col(f"_metadata.{name}"), r"^part-(\d+)", 1).try_cast("long")
+    at = [part.alias("at_part"), F.col("_metadata.file_path").alias("at_file"), F.col(f"_metadata.{line}").alias("at_line")]
+    return docs.select("doc_id", "text", *at)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents with their places in windows of 1024 tokens."""
-    return checked.packed_pieces(docs)
+    """Token pieces of all documents with their places in windows of 1024 tokens.
+
+    Pieces of equal length take their places in the order of the mix, and windows are numbered by it.
+    """
+    return checked.packed_pieces(in_stored_order(docs), ("at_part", "at_file", "at_line"))
 
 
 STAGES = [

@@ -346,3 +346,31 @@ def test_against_sql(spark, name):
     from tests.oracle import connect, difference
 
     assert difference(connect(DATA), checked.QUERIES[name](spark, DATA), checked.ORACLES[name]) is None
+
+
+def test_packed_windows_follow_the_mix(spark):
+    """Pieces of equal length and windows stand in the order of slot and place, not of ids."""
+    import corpus_pipeline
+    from tidemark.llm.storage import stored
+
+    docs = spark.read.parquet(f"{DATA_10X}/documents.parquet")
+    mixed = mixing.mix_sources(docs.select("doc_id", "source"), block_rows=16, power=0.5)
+    at = {r["doc_id"]: (r["slot"], r["place"]) for r in mixed.collect()}
+    ordered = stored(corpus_pipeline.mixing_stage(spark, docs, DATA_10X).repartition(1).sortWithinPartitions("doc_id"), "by-id")
+    assert len(at) == ordered.count()
+    packed = []
+    for given in (stored(corpus_pipeline.mixing_stage(spark, docs, DATA_10X), "mixed"), ordered):
+        packed.append(corpus_pipeline.packing_stage(spark, given, DATA_10X).collect())
+    key = lambda r: (*at[r["doc_id"]], r["start"])
+    windows, full = collections.defaultdict(list), []
+    for r in packed[0]:
+        windows[r["sequence_id"]].append(r)
+        if r["length"] == 1024:
+            full.append(r)
+    assert sorted(windows) == list(range(len(windows)))
+    assert all(sum(r["length"] for r in w) <= 1024 for w in windows.values())
+    firsts = [min(map(key, windows[i])) for i in range(len(windows))]
+    assert firsts == sorted(firsts)
+    assert len(full) > 50 and sorted(full, key=key) == sorted(full, key=lambda r: r["sequence_id"])
+    # The same documents in another order are packed otherwise.
+    assert collections.Counter(map(tuple, packed[0])) != collections.Counter(map(tuple, packed[1]))

@@ -190,20 +190,29 @@ def id_remainder(n: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
-def packed_pieces(docs: DataFrame) -> DataFrame:
-    """Token pieces of documents by the 50,257-word byte vocabulary, with digests, packed into windows of 1024."""
+def packed_pieces(docs: DataFrame, order_by: tuple[str, ...] = ()) -> DataFrame:
+    """Token pieces of documents by the 50,257-word byte vocabulary, with digests, packed into windows of 1024.
+
+    Pieces of equal length take their places by ``doc_id``. With ``order_by``, columns of ``docs`` that
+    are not in the result (their names must not begin with ``__``), they do so in that order, and windows are numbered by their first piece in it.
+    """
     import public_tokenizers as public
 
     pieces = packing.cut_pieces(
-        docs.select("doc_id", "text"),
+        docs.select("doc_id", "text", *order_by),
         public.path("byte_bpe_50k.json"),
         window=1024,
         end_id=0,
         ranks=public.path("byte_bpe_50k.tiktoken"),
         pattern=public.PATTERN,
     )
-    digests = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return packing.pack_pieces(digests, ["doc_id", "start"], window=1024)
+    ids = F.crc32("ids").alias("ids_crc32")
+    digests = pieces.select("doc_id", "start", "length", ids, "doc_tokens", *order_by)
+    if not order_by:
+        return packing.pack_pieces(digests, ["doc_id", "start"], window=1024)
+    order = [*order_by, "start"]
+    packed = packing.pack_pieces(digests, order, window=1024)
+    return packing.sequences_in_order(packed, order).drop(*order_by)
 
 
 @checked("op2_pack_tokens")

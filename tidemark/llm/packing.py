@@ -265,3 +265,26 @@ def pack_pieces(
     ranked = ranked.select(*pieces.columns, "__length", "__rank")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     return ranked.mapInArrow(_assign(plan_slots(histogram, window), window), f"{kinds}, sequence_id long, offset long")
+
+
+def sequences_in_order(packed: DataFrame, order_by: Sequence[str]) -> DataFrame:
+    """Number the sequences of packed pieces anew, by the first of their pieces in ``order_by``.
+
+    Ids stay 0 to n - 1 and pieces keep their sequence and offset. Sequences whose first pieces are
+    equal in the order are numbered anyhow. The driver gets one row per task.
+    """
+    packed = stored(packed, "packed-pieces")
+    first = packed.groupBy("sequence_id").agg(F.min(F.struct(*order_by)).alias("__first"))
+    ranged = first.repartitionByRange("__first").sortWithinPartitions("__first").select(
+        "sequence_id",
+        F.spark_partition_id().alias("__task"),
+        (F.monotonically_increasing_id() % F.lit(1 << 33)).alias("__at"),
+    )
+    ranged = stored(ranged, "ranged-sequences")
+    shifts, before = [], 0
+    for row in sorted(ranged.groupBy("__task").agg(F.count(F.lit(1)).alias("n")).collect()):
+        shifts.append((row["__task"], before))
+        before += row["n"]
+    shift = packed.sparkSession.createDataFrame(shifts, "__task int, __shift long")
+    new = ranged.join(F.broadcast(shift), "__task").select("sequence_id", (F.col("__at") + F.col("__shift")).alias("__new"))
+    return packed.join(new, "sequence_id").withColumn("sequence_id", F.col("__new")).select(*packed.columns)
