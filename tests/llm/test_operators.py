@@ -374,3 +374,19 @@ def test_packed_windows_follow_the_mix(spark):
     assert len(full) > 50 and sorted(full, key=key) == sorted(full, key=lambda r: r["sequence_id"])
     # The same documents in another order are packed otherwise.
     assert collections.Counter(map(tuple, packed[0])) != collections.Counter(map(tuple, packed[1]))
+
+
+def test_licence_key_phrases_are_not_missed(spark):
+    """A standing key phrase is aligned whatever other words of its template stand, or occur anywhere."""
+    texts = [
+        (1, "licensed under the MIT License"), (2, "It is distributed under the MIT License, see there."),
+        (3, "released under the MIT License"), (4, "mit without the license"),
+        (5, "Redistribution and use in source and binary forms with or without modification are permitted"),
+        (6, "Foo is subject to the new terms of the Mozilla Public License v 2 0"),
+        (7, "licensed under the MIT license and again under the MIT license"),
+    ]
+    docs = spark.createDataFrame([*texts, *((i, "released software of version 3") for i in range(8, 40))], "doc_id long, text string")
+    rows = {r["doc_id"]: r["places"] for r in licenses.scan_licenses(docs).collect()}
+    labels = {i: [p["label"] for p in rows[i]] for i, _ in texts}
+    assert labels == {1: ["mit"], 2: ["mit"], 3: ["mit"], 4: [], 5: ["bsd"], 6: ["mpl-2.0"], 7: ["mit", "mit"]}
+    assert [p["start"] for p in rows[7]] == [3, 9] and all(p["score"] >= 0.6 for i in labels for p in rows[i])

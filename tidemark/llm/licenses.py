@@ -1,9 +1,10 @@
 """Licence notices found through a positional index of rare template words.
 
-Every template's two rarest words, by document frequency in the scanned corpus, are its index
-entries. Where both stand in a text at the distance they have in the template, that place is
-aligned with the template: its key phrase must stand there word for word, and most of the other
-words too. Everything is DataFrame functions on one row per document.
+The rarest word of every template's key phrase, by document frequency in the scanned corpus, is its
+index entry. Each place where it stands in a text votes for a start of the template: the key phrase
+must stand there word for word, and most of the other words too, wherever in the template. A key
+phrase holds its rarest word, so none that stands is missed. Everything is DataFrame functions on
+one row per document.
 """
 
 from __future__ import annotations
@@ -57,21 +58,13 @@ def document_frequency(docs: DataFrame, vocabulary: Sequence[str], text_col: str
     return {w: counts.get(w, 0) for w in vocabulary}
 
 
-def rarest_words(template: Template, frequency: dict[str, int]) -> tuple[tuple[str, int], tuple[str, int]]:
-    """The two words (with their first position in the template) of the highest IDF; ties by position."""
-    words = template.text.split()
-    first = {w: words.index(w) for w in words}
-    rare = sorted(first, key=lambda w: (frequency[w], first[w]))
-    return (rare[0], first[rare[0]]), (rare[min(1, len(rare) - 1)], first[rare[min(1, len(rare) - 1)]])
-
-
 def _places(template: Template, frequency: dict[str, int], total: int, least: float) -> Column:
     """Where the template stands, as (start, score), from ``__hits`` (word, position) and ``__words``."""
     words, key = template.text.split(), template.key.split()
-    (a, at_a), (b, at_b) = rarest_words(template, frequency)
     lead = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
-    starts = lambda w, at: F.transform(F.filter("__hits", lambda h: h["w"] == w), lambda h: h["i"] - at)
-    aligned = F.array_distinct(F.array_intersect(starts(a, at_a), starts(b, at_b)))
+    # Every standing key phrase holds its rarest word, so each posting of that word votes for a start.
+    at = lead + min(range(len(key)), key=lambda i: (frequency[key[i]], i))
+    aligned = F.transform(F.filter("__hits", lambda h: h["w"] == words[at]), lambda h: h["i"] - at)
     # Weights are the words' IDF: a notice that lacks a common word is still nearly whole.
     weight = [math.log((total + 1) / (frequency[w] + 1)) + 1 for w in words]
     stands = lambda s, i: F.coalesce(F.get("__words", s + i) == words[i], F.lit(False))
@@ -116,7 +109,7 @@ def scan_licenses(
     vocabulary = sorted({w for t in templates for w in t.text.split()})
     frequency = document_frequency(docs, vocabulary, text_col)
     total = max(1, docs.count())
-    index = sorted({w for t in templates for w, _ in rarest_words(t, frequency)})
+    index = sorted({min(t.key.split(), key=lambda w: frequency[w]) for t in templates})
     out = docs.withColumn("__words", words_of(lower_ascii(F.col(text_col)), SEPARATORS))
     listed = F.transform("__words", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
     hits = F.filter(listed, lambda h: h["w"].isin(index))
