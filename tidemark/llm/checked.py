@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard, langid, licenses, lines, lm, mixing, packing, quality, substring, topk
+from tidemark.llm import bestfit, jaccard, langid, licenses, lines, lm, mixing, packing, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -245,3 +245,14 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@checked("op12_best_fit_packing")
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents by the word vocabulary, packed best-fit into windows of 2048."""
+    import public_tokenizers as public
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = bestfit.cut_long_texts(docs, public.path("word_bpe_49k.json"), window=2048, end_id=0)
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return bestfit.pack_best_fit(digests, window=2048)
