@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bestfit, jaccard, langid, licenses, lines, lm, mixing, packing, quality, substring, topk
+from tidemark.llm import bestfit, jaccard, langid, lexical, licenses, lines, lm, mixing, packing, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -256,3 +256,36 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = bestfit.cut_long_texts(docs, public.path("word_bpe_49k.json"), window=2048, end_id=0)
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return bestfit.pack_best_fit(digests, window=2048)
+
+
+LEXICAL_SQL = r"""
+with w as (
+    select doc_id, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from (select *, row_number() over () as row from documents)
+), d as (select row, count(*) as n from w group by row
+), t as (select (select count(*) from d)::bigint as nn, (select sum(n) from d)::bigint as ll
+), f as (select row, any_value(doc_id) as doc_id, term, count(*) as tf from w group by row, term
+), g as (select term, count(*) as df from f group by term
+), i as (
+    select item_id, term, count(*) as reps from (
+        select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark)
+    group by item_id, term
+), s as (
+    select i.item_id, f.row, any_value(f.doc_id) as doc_id,
+           sum(i.reps * floor(1000 * ln((2 * t.nn + 2)::double / (2 * g.df + 1)::double))::bigint
+               * ((1000000000 * f.tf) // (1000 * f.tf + 8 * (25 + (75 * d.n * t.nn) // t.ll))))::bigint as score
+    from i join f on i.term = f.term join g on f.term = g.term join d on f.row = d.row cross join t group by i.item_id, f.row
+)
+select item_id, rank::int as rank, doc_id, score from (
+    select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0
+) where rank <= 10
+"""
+
+
+@checked("op11_lexical_search", LEXICAL_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item by its terms."""
+    return lexical.rank_documents(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=10)
