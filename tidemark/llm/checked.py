@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bestfit, jaccard, langid, lexical, licenses, lines, lm, mixing, packing, quality, substring, topk
+from tidemark.llm import bestfit, jaccard, langid, lexical, licenses, lines, lm, mixing, packing, prefixes, quality, substring, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -289,3 +289,58 @@ select item_id, rank::int as rank, doc_id, score from (
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item by its terms."""
     return lexical.rank_documents(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=10)
+
+
+TRIE_SQL = """
+with tab as (
+    select list(list_reduce(list_prepend(n, range(8)), lambda c, i: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)
+                order by n) as t
+    from (select unnest(range(256)) as n)
+), o as (
+    select conv_id as c, row_number() over (partition by conv_id
+               order by turn nulls first, md5(md5(coalesce(text, '')) || coalesce(role, ''))) as i,
+           coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null
+), c as (
+    select c, c - c % 5 as b,
+           xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::bigint)),
+               lambda a, x: xor(a >> 8, t[xor(a & 255, x) + 1]))) % 9 as h
+    from (select distinct c from o), tab
+), r as (
+    select c.c, o.i, 0 as own, o.role, o.text from c join o on o.c = c.b and o.i <= c.h
+    union all
+    select c.c, o.i, 1 as own, o.role, o.text from c join o on o.c = c.c and o.i > c.h
+), s as (
+    select c, row_number() over w as depth, strlen(text) as bytes,
+           list(md5(md5(text) || role)) over (w rows between unbounded preceding and current row) as path
+    from r window w as (partition by c order by own, i)
+), d as (select c.c, coalesce(max(s.depth), 0) as depths from c left join s on s.c = c.c group by c.c
+), p as (select c, depth, bytes, path, path[:-2] as above from s
+         union all select c, 0, 0, [], null from c
+), n as (
+    select depth, path, any_value(above) as above, min(p.c) as conv_id, count(*) as n_convs, any_value(bytes) as bytes,
+           sha256(coalesce(string_agg(p.c::varchar, ',' order by p.c) filter (d.depths = p.depth), '')) as ends_sha256
+    from p join d on d.c = p.c group by depth, path
+), k as (
+    select n.*, a.conv_id as parent_conv_id, (select count(*) from n x where x.depth = n.depth + 1 and x.above = n.path) as n_children
+    from n left join n a on a.depth = n.depth - 1 and a.path = n.above
+), m as (
+    select p.depth, p.path, count(*) filter (x.n_children = 0) as n_leaves, sum((x.n_convs - 1) * x.bytes) as saved_tokens
+    from k x join p on p.c = x.conv_id and p.depth <= x.depth group by p.depth, p.path
+)
+select k.conv_id, k.depth::bigint as depth, k.parent_conv_id, k.n_convs, k.n_children, m.n_leaves,
+       m.saved_tokens::bigint as saved_tokens, k.ends_sha256
+from k join m on m.depth = k.depth and m.path = k.path
+"""
+
+
+@checked("op13_prefix_trie", TRIE_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin with up to eight turns of another one."""
+    conv = F.col("conv")
+    return prefixes.prefix_trie(
+        table(spark, sf_dir, "conversations"),
+        shared_with=conv - conv % 5,
+        shared_turns=F.crc32(conv.cast("string")) % 9,
+        most_shared=8,
+    )
