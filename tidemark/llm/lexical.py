@@ -11,6 +11,7 @@ its terms lead to. A task keeps the k best documents of each item, so few rows a
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +48,7 @@ def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Scanner:
     """Distinct terms of a block as an automaton over blanks and terms; built once per Python worker."""
 
-    made: tuple[int, object] | None = None
+    made: tuple[str, object] | None = None
 
     @classmethod
     def of(cls, shared):
@@ -63,10 +64,10 @@ class _Scanner:
 
 
 class _Shared:
-    """A broadcast value with a number to tell it from others."""
+    """A broadcast value with a name that no other has, also in workers that live on."""
 
-    def __init__(self, value, session, number: int):
-        self._sent, self.id = session.sparkContext.broadcast(value), number
+    def __init__(self, value, session):
+        self._sent, self.id = session.sparkContext.broadcast(value), uuid.uuid4().hex
 
     @property
     def value(self):
@@ -235,7 +236,7 @@ def rank_documents(
         words = sorted({r["term"] for r in mine})
         keys = sorted({r["__item"] for r in mine}, key=lambda i: (i is None, i))
         at, item_at = {w: i for i, w in enumerate(words)}, {i: n for n, i in enumerate(keys)}
-        scan = _scan(_Shared([bytes(w) for w in words], spark, number))
+        scan = _scan(_Shared([bytes(w) for w in words], spark))
         seen = stored(narrow.mapInArrow(scan, "__doc long, n long, terms binary, counts binary"), "term-counts")
         df = dict(seen.mapInArrow(_frequencies(len(words)), "term int, df long").groupBy("term").sum("df").collect())
         n_docs, length = df.get(-1, 0), df.get(-2, 0)
@@ -247,7 +248,7 @@ def rank_documents(
         most = np.bincount(item, weight[term].astype(float) * repeats * 1e6).max()
         index = weight, np.searchsorted(term, np.arange(len(words) + 1)), item, repeats, bool(most < _EXACT)
         scored = seen.mapInArrow(
-            _score(_Shared(index, spark, number), n_docs, length, len(keys), k), "__at int, __doc long, score long"
+            _score(_Shared(index, spark), n_docs, length, len(keys), k), "__at int, __doc long, score long"
         )
         # Stored, since the driver's table of item ids below belongs to this block only.
         names = spark.createDataFrame(list(enumerate(keys)), f"__at int, `{item_id}` long")
