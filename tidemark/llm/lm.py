@@ -3,8 +3,9 @@
 A word's probability is that of its class given the words before it, times that of the word in
 its class. The class model is a softmax over a fixed number of classes with hashed features: the
 word before, the two before, and skips over one and two words. It is trained by gradient steps
-on all training texts in parallel, in rounds whose weights are averaged. The word's share of its
-class comes from counts over the corpus.
+on all training texts in parallel, in rounds whose weights are averaged; every text belongs to one
+of the rounds, so all rounds together read it once. The word's share of its class comes from counts
+over the corpus.
 
 Frequent words have classes of their own; all others have one by their spelling, so an unknown
 word has a class too.
@@ -33,6 +34,8 @@ HEAD = 1 << 18
 #: Tokens of a gradient step, rounds, and distinct words a task holds before it passes them on.
 STEP = 4096
 ROUNDS = 2
+#: Tokens of a feature above which its gradients are summed by themselves.
+LARGE = 16
 HELD = 1 << 20
 #: Text for a worker of a round: its weights are a small part of what it reads.
 WORKER_BYTES = 32 << 20
@@ -140,32 +143,73 @@ def _classes(h: np.ndarray, spelling: np.ndarray, own: np.ndarray) -> np.ndarray
     return np.where(own[at] == h, at, OWN + spelling)
 
 
-def _softmax(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    logits = weights.take(features[:, 0], axis=0)
-    for i in range(1, features.shape[1]):
-        logits += weights.take(features[:, i], axis=0)
-    logits += weights[0]
-    logits -= logits.max(1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
-    return logits
+class Buffers:
+    """Room for the rows of a step, kept from step to step: fresh memory costs more than the sums in it."""
+
+    def __init__(self, tokens: int = STEP):
+        self.scores = np.empty((tokens, CLASSES), np.float32)
+        self.part = np.empty((4 * tokens, CLASSES), np.float32)
+        self.total = np.empty((4 * tokens, CLASSES), np.float32)
+
+
+def _exponentials(weights: np.ndarray, features: np.ndarray, buffers: Buffers) -> np.ndarray:
+    """Classes' unnormalised probabilities of each token, a few tokens at a time, in ``buffers.scores``."""
+    for at in range(0, len(features), 1024):
+        some = features[at : at + 1024]
+        logits, part = buffers.scores[at : at + len(some)], buffers.part[: len(some)]
+        np.take(weights, some[:, 0], axis=0, out=logits, mode="clip")
+        for i in range(1, some.shape[1]):
+            logits += np.take(weights, some[:, i], axis=0, out=part, mode="clip")
+        logits += weights[0]
+        if np.abs(logits).max(initial=0) > 40:  # where exponentials could leave the range of 32 bits
+            logits -= logits.max(1, keepdims=True)
+        np.exp(logits, out=logits)
+    return buffers.scores[: len(features)]
+
+
+def _row_sums(g: np.ndarray, tokens: np.ndarray, first: np.ndarray, count: np.ndarray, buffers: Buffers):
+    """Sums of ``g`` over groups of tokens (``tokens[first : first + count]``): the groups, largest first, and their sums.
+
+    Groups are added up side by side: the first token of each, then the second of those that have one,
+    and so on. The few large ones are summed one by one.
+    """
+    by = np.argsort(-count, kind="stable")
+    count, first = count[by], first[by]
+    longer = lambda n: int(np.searchsorted(-count, -n, "left"))  # noqa: E731  groups of more than n tokens
+    total, large = buffers.total[: len(by)], longer(LARGE)
+    for i in range(large):
+        np.add.reduce(g.take(tokens[first[i] : first[i] + count[i]], axis=0), axis=0, out=total[i])
+    np.take(g, tokens[first[large:]], axis=0, out=total[large:], mode="clip")
+    for k in range(1, LARGE):
+        upto = longer(k)
+        part = buffers.part[: max(upto - large, 0)]
+        if not len(part):
+            break
+        total[large:upto] += np.take(g, tokens[first[large:upto] + k], axis=0, out=part, mode="clip")
+    return by, total
 
 
 def gradient_step(
-    weights: np.ndarray, uses: np.ndarray, squares: np.ndarray, features: np.ndarray, y: np.ndarray, rate: float
+    weights: np.ndarray, uses: np.ndarray, squares: np.ndarray, features: np.ndarray, y: np.ndarray, rate: float,
+    buffers: Buffers,
 ) -> None:
     """One step on some tokens, in place; each feature row has its own step size by its past gradients."""
-    g = _softmax(weights, features)
+    g = _exponentials(weights, features, buffers)
+    g /= g.sum(1, keepdims=True)
     g[np.arange(len(y)), y] -= 1
-    flat = features.ravel()
+    flat = features.T.ravel()
     order = np.argsort(flat.astype(np.int16), kind="stable")  # rows fit 16 bits, which are sorted by radix
-    first = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
-    rows = flat[order][first]
-    total = np.add.reduceat(g.take(order // features.shape[1], axis=0), first, axis=0)
+    ordered = flat[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    count = np.diff(np.r_[first, len(ordered)])
+    by, total = _row_sums(g, order % len(y), first, count, buffers)
+    rows = ordered[first][by]
     squares[rows] += np.einsum("ij,ij->i", total, total) / CLASSES
-    uses[rows] += np.diff(np.r_[first, len(flat)])
+    uses[rows] += count[by]
     total *= (rate / (np.sqrt(squares[rows]) + 1e-6))[:, None]
-    weights[rows] -= total
+    new = np.take(weights, rows, axis=0, out=buffers.part[: len(rows)], mode="clip")
+    new -= total
+    weights[rows] = new
     # The bias is in every token.
     total = g.sum(0)
     squares[0] += (total * total).mean()
@@ -177,12 +221,13 @@ def _train(weights: np.ndarray, own: np.ndarray, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.copy()
         uses, squares = np.zeros(FEATURES, np.float32), np.zeros(FEATURES, np.float32)
+        buffers = Buffers()
         for batch in batches:
             for block in blocks(batch["__text"]):
                 row, h, spelling = _tokens(block)
                 features, y = _features(row, h), _classes(h, spelling, own)
                 for at in range(0, len(y), STEP):
-                    gradient_step(w, uses, squares, features[at : at + STEP], y[at : at + STEP], rate)
+                    gradient_step(w, uses, squares, features[at : at + STEP], y[at : at + STEP], rate, buffers)
         if uses.any():
             from pyspark import TaskContext
 
@@ -216,7 +261,7 @@ def _add_up(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _round(texts: DataFrame, weights: np.ndarray, own: np.ndarray, rate: float) -> np.ndarray:
-    """Weights after one pass of all texts: the workers' means, by how often each used a feature."""
+    """Weights after one pass of ``texts``: the workers' means, by how often each used a feature."""
     sent = texts.mapInArrow(_train(weights, own, rate), _WEIGHTS)
     group = F.floor(F.col("__worker") / FAN_IN).cast("int")
     some = sent.groupBy("__chunk", group).applyInPandas(_add_up, _WEIGHTS)
@@ -284,6 +329,7 @@ def _score(model: Model):
     known_log = np.log10(model.head_counts + 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buffers = Buffers()
         for batch in batches:
             rows, ids = batch["__row"].to_numpy(), batch["__id"]
             for block in blocks(batch["__text"]):
@@ -293,8 +339,8 @@ def _score(model: Model):
                 chosen = np.zeros(len(y))
                 for at in range(0, len(y), STEP):
                     part = slice(at, at + STEP)
-                    p = _softmax(model.weights, features[part])
-                    chosen[part] = p[np.arange(len(p)), y[part]]
+                    p = _exponentials(model.weights, features[part], buffers)
+                    chosen[part] = p[np.arange(len(p)), y[part]] / p.sum(1)
                 classes = np.log10(np.maximum(chosen, 1e-30)) - model.class_log[y]
                 if len(model.head):
                     place = np.minimum(np.searchsorted(model.head, h), len(model.head) - 1)
