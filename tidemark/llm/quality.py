@@ -28,10 +28,9 @@ def words_of(text: Column, separators: str = SPACE) -> Column:
 
 
 def with_symptoms(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add the counts of :func:`quality_rules` and ``base_failed``; ``__`` columns hold the steps."""
+    """Add the counts of :func:`quality_rules` and ``base_failed`` to texts with their ``__words``, which are dropped."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = docs.withColumn("__words", words_of(F.col(text_col)))
-    out = out.withColumn("__lines", F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(WHITE)) != ""))
+    out = docs.withColumn("__lines", F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(WHITE)) != ""))
     n = F.size("__words")
     out = out.withColumns(
         {
@@ -41,9 +40,9 @@ def with_symptoms(docs: DataFrame, text_col: str = "text") -> DataFrame:
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
         }
     )
-    word = lambda i: F.get("__words", i)
-    at = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>"))
-    out = out.withColumn("__grams", F.transform(at, lambda i: F.xxhash64(word(i), word(i + 1), word(i + 2))))
+    two = F.zip_with("__words", F.slice("__words", F.lit(2), n), lambda w, x: F.xxhash64(w, x))
+    three = F.zip_with(two, F.slice("__words", F.lit(3), n), lambda g, x: F.xxhash64(g, x))
+    out = out.withColumn("__grams", F.slice(three, F.lit(1), F.greatest(n - 2, F.lit(0))))
     # Equal windows stand together in order; most texts have none, and are not sorted.
     some = F.size(F.array_distinct("__grams")) < F.size("__grams")
     ordered = F.sort_array(F.transform("__grams", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
@@ -65,26 +64,22 @@ def with_symptoms(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def tokens_of(text: Column) -> Column:
     """Runs of letters and digits, and runs of other signs, in order."""
-    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), "([^\\p{L}\\p{N}\\x20\\x09-\\x0D]+)", " $1 ")
+    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), "[^\\p{L}\\p{N}\\x20\\x09-\\x0D]+", " $0 ")
     return F.array_remove(F.split(spaced, SPACE, -1), "")
 
 
-def ngram_buckets(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """One row per word and per pair of neighbouring words: ``__bucket``, after the columns of ``docs`` but the text."""
-    keys = [c for c in docs.columns if c != text_col]
-    listed = docs.select(*keys, tokens_of(F.col(text_col)).alias("__tokens"))
-    rows = listed.select(*keys, "__tokens", F.posexplode("__tokens").alias("__at", "__token"))
-    one = F.pmod(F.xxhash64("__token"), F.lit(BUCKETS)).cast("int")
-    after = F.get("__tokens", F.col("__at") + 1)
-    two = F.pmod(F.xxhash64("__token", after), F.lit(BUCKETS)).cast("int") + BUCKETS
-    both = F.array(one, F.when(after.isNotNull(), two))
-    return rows.select(*keys, F.explode(both).alias("__bucket")).where(F.col("__bucket").isNotNull())
+def ngram_buckets(words: Column) -> Column:
+    """Buckets of an array of words: one for each word, and one for each pair of neighbours."""
+    after = F.slice(words, F.lit(2), F.size(words))
+    one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+    two = F.zip_with(words, after, lambda w, x: F.pmod(F.xxhash64(w, x), F.lit(BUCKETS)).cast("int") + BUCKETS)
+    return F.concat(one, F.slice(two, F.lit(1), F.size(after)))  # the last word has no neighbour
 
 
 def ngram_weights(
     docs: DataFrame, trusted: DataFrame, max_trusted: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``__bucket`` and ``__weight``: the log ratio of its share in trusted texts to its share in all, in units.
+    """One row, ``__weights``: per bucket the log ratio of its share in trusted texts to its share in all, in units.
 
     Counts of the corpus are over all texts. Of the trusted ids at most ``max_trusted`` are used,
     those with the smallest hashes; their number bounds the broadcast.
@@ -93,7 +88,9 @@ def ngram_weights(
     ids = ids.orderBy(F.xxhash64("__id"), "__id").limit(max_trusted).withColumn("__trusted", F.lit(1))
     marked = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias(text_col))
     marked = marked.join(F.broadcast(ids), "__id", "left").select("__trusted", text_col)
-    counts = ngram_buckets(marked, text_col).groupBy("__bucket").agg(
+    listed = marked.select("__trusted", tokens_of(F.col(text_col)).alias("__tokens"))
+    rows = listed.select("__trusted", F.explode(ngram_buckets(F.col("__tokens"))).alias("__bucket"))
+    counts = rows.groupBy("__bucket").agg(
         F.count(F.lit(1)).alias("__all"), F.count("__trusted").alias("__good")
     )
     counts = stored(counts, "ngram-counts")
@@ -102,7 +99,12 @@ def ngram_weights(
     share = lambda n, of: (F.col(n) + 1) / (F.col(of) + BUCKETS)
     ratio = F.log(share("__good", "__goods") / share("__all", "__alls"))
     joined = counts.withColumn("__order", two).join(F.broadcast(total), "__order")
-    return joined.select("__bucket", F.round(ratio * UNIT).cast("long").alias("__weight"))
+    weights = joined.select("__bucket", F.round(ratio * UNIT).cast("int").alias("__weight"))
+    # One row with all weights in order: a fixed number of them.
+    every = docs.sparkSession.range(2 * BUCKETS).select(F.col("id").cast("int").alias("__bucket"))
+    pair = F.struct("__bucket", F.coalesce("__weight", F.lit(0)).alias("w"))
+    listed = every.join(F.broadcast(weights), "__bucket", "left").agg(F.sort_array(F.collect_list(pair)).alias("all"))
+    return listed.select(F.transform("all", lambda x: x["w"]).alias("__weights"))
 
 
 def quality_rules(
@@ -124,17 +126,17 @@ def quality_rules(
     ``trusted`` names trusted documents by ``id_col``. Ratios are whole numbers of 1/1,000,000, so sums
     do not depend on their order and equal texts get equal verdicts. Null texts count as empty,
     and so fail; documents without an id are judged like others but are never trusted; an empty
-    table gives no rows. Scores are summed by a hash of id and text; documents are shuffled by it,
-    with the columns that the caller keeps, only where the scores are too many to broadcast.
+    table gives no rows. Texts are read once for the counts and once for verdicts; the weights, a row
+    of fixed size, go to every task, and no document is shuffled.
     """
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
     docs = docs.drop(*added)
     weights = F.broadcast(stored(ngram_weights(docs, trusted, max_trusted, id_col, text_col), "ngram-weights"))
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
-    grams = ngram_buckets(docs.select(row.alias("__row"), F.col(text_col).alias(text_col)), text_col)
-    scores = grams.join(weights, "__bucket").groupBy("__row").agg(
-        (F.sum("__weight") / F.count(F.lit(1)) / UNIT).alias("llr")
-    )
-    judged = with_symptoms(docs, text_col).withColumn("__row", row).join(scores, "__row", "left").drop("__row")
+    listed = docs.withColumns({"__words": words_of(F.col(text_col)), "__tokens": tokens_of(F.col(text_col))})
+    grams = listed.withColumn("__grams", ngram_buckets(F.col("__tokens"))).drop("__tokens").crossJoin(weights)
+    total = F.aggregate("__grams", F.lit(0).cast("long"), lambda a, g: a + F.get("__weights", g))
+    llr = F.when(F.size("__grams") > 0, total / F.size("__grams") / UNIT)
+    judged = with_symptoms(grams.withColumn("llr", llr).drop("__grams", "__weights"), text_col)
     fine = F.coalesce(F.col("llr") >= threshold, F.lit(False))
-    return judged.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(fine))
+    judged = judged.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(fine))
+    return judged.select(*docs.columns, *added)
