@@ -35,7 +35,7 @@ SMALL_BUCKET = 32
 TILE = 512
 TILE_SHINGLES = 1 << 21
 
-_SIGNED = "__doc long, __size int, __set1 long, __set2 long, __sig binary"
+_SIGNED = "__doc long, __id long, __size int, __set1 long, __set2 long, __sig binary"
 _MULTIPLY = mix(np.arange(1, HASHES + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _ADD = mix(np.arange(HASHES + 1, 2 * HASHES + 1, dtype=np.uint64)).astype(np.uint32)
 
@@ -98,12 +98,13 @@ def _sign(width: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(docs[block.first : block.first + n]),
+                        batch["__id"].slice(block.first, n),
                         pa.array(np.bincount(row, minlength=n).astype(np.int32)),
                         pa.array(sets[0].view(np.int64)),
                         pa.array(sets[1].view(np.int64)),
                         pa.array([x.tobytes() for x in sig], pa.binary()),
                     ],
-                    ["__doc", "__size", "__set1", "__set2", "__sig"],
+                    ["__doc", "__id", "__size", "__set1", "__set2", "__sig"],
                 )
 
     return run
@@ -258,36 +259,26 @@ def _tile(threshold: float, tolerance: float):
     return run
 
 
-def near_duplicates(
-    docs: DataFrame,
-    threshold: float = 0.8,
-    width: int = 5,
-    tolerance: float = 1e-6,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """Every document's text class, near-duplicate group and number of links.
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Add ``__doc``: the id where only one row has it, else a hash of id and text beyond 2 ** 62."""
+    given = F.col(id_col).cast("long")
+    ids = docs.select(given.alias("__again")).where(F.col("__again").isNotNull())
+    again = stored(ids.groupBy("__again").count().where(F.col("count") > 1).select("__again"), "repeated-ids")
+    made = F.xxhash64(given, F.col(text_col)).bitwiseAND((1 << 62) - 1).bitwiseOR(1 << 62)
+    marked = docs.join(again, given == F.col("__again"), "left")
+    return marked.withColumn("__doc", F.when(given.isNull() | F.col("__again").isNotNull(), made).otherwise(given)).drop("__again")
 
-    Shingles are the distinct runs of ``width`` words of a text (A-Z in lower case; words end at
-    blanks and controls from tab to carriage return); a shorter text with words has all of them as
-    its only shingle. Two documents are linked if the Jaccard similarity of their shingles is
-    at least ``threshold``. Returns ``id_col``, ``class_id`` (smallest id with the same shingles),
-    ``group_id`` (smallest id that links lead to), ``n_copies`` (documents of the class) and
-    ``n_links`` (documents it is linked to, copies included).
 
-    Texts that are null or have no words are linked to nothing, each its own class and group.
-    Ids must be whole numbers; rows without an id are left out. Rows that repeat an id come out as
-    often as they are in ``docs``; if their texts differ, one of them (by the hash of its shingles)
-    is compared with other texts, and the others only find their copies.
-    An empty table gives no rows. No pair at or above the threshold that shares a bucket is lost
-    but with the tolerated probability.
-    """
-    texts = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("__doc"), F.col(text_col).alias("__text")
-    )
+def _groups(docs: DataFrame, threshold: float, width: int, tolerance: float, id_col: str, text_col: str) -> DataFrame:
+    """The result of :func:`near_duplicates` with each row's key ``__doc`` and that of its group's first row, ``__kept``."""
+    texts = _keyed(docs.select(id_col, text_col), id_col, text_col)
+    texts = texts.select("__doc", F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
     signed = stored(texts.mapInArrow(_sign(width), _SIGNED), "signatures")
     some = signed.where(F.col("__size") > 0)
-    sets = some.groupBy("__set1", "__set2").agg(F.min("__doc").alias("__class"), F.count(F.lit(1)).alias("__copies"))
+    place = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__doc").alias("key"))
+    sets = some.groupBy("__set1", "__set2").agg(
+        F.min("__doc").alias("__class"), F.min(place).alias("__first"), F.count(F.lit(1)).alias("__copies")
+    )
     sets = stored(sets, "classes")
     kept = signed.alias("s").join(
         sets.alias("c"),
@@ -330,7 +321,7 @@ def near_duplicates(
         F.col("node").alias("__doc"), F.col("root").alias("__block"), tiles.alias("__tiles")
     )
     inside = stored(inside.join(kept.drop("__size"), "__doc"), "block-members")
-    full = texts.join(inside, "__doc").select("__doc", "__set1", "__block", "__tiles", "__copies", "__sig", "__text")
+    full = texts.drop("__id").join(inside, "__doc").select("__doc", "__set1", "__block", "__tiles", "__copies", "__sig", "__text")
     kind = "__doc long, __block long, __tiles int, __copies long, __sig binary, __set binary"
     full = full.mapInArrow(_shingle_sets(width), kind)
     tile = F.pmod(F.xxhash64("__doc"), F.col("__tiles")).cast("int")
@@ -347,17 +338,71 @@ def near_duplicates(
     links = links.join(root.select(F.col("node").alias("__doc"), F.col("root").alias("__root")), "__doc", "left")
 
     by_class = sets.join(links.withColumnRenamed("__doc", "__class"), "__class", "left")
-    by_class = stored(by_class, "class-links")
-    out = signed.select("__doc", "__set1", "__set2", "__size").join(by_class, ["__set1", "__set2"], "left")
+    by_class = stored(by_class.withColumn("__root", F.coalesce("__root", "__class")), "class-links")
+    first = by_class.groupBy("__root").agg(F.min("__first").alias("__group"))
+    by_class = by_class.join(first, "__root").drop("__root", "__class")
+    out = signed.select("__doc", "__id", "__set1", "__set2", "__size").join(by_class, ["__set1", "__set2"], "left")
     own = F.col("__size") == 0
-    first = F.when(own, F.col("__doc")).otherwise(F.col("__class"))
     return out.select(
-        F.col("__doc").alias(id_col),
-        first.alias("class_id"),
-        F.when(own, F.col("__doc")).otherwise(F.coalesce("__root", "__class")).alias("group_id"),
+        "__doc",
+        F.when(own, F.col("__doc")).otherwise(F.col("__group.key")).alias("__kept"),
+        F.col("__id").alias(id_col),
+        F.when(own, F.col("__id")).otherwise(F.col("__first.id")).alias("class_id"),
+        F.when(own, F.col("__id")).otherwise(F.col("__group.id")).alias("group_id"),
         F.when(own, F.lit(1)).otherwise(F.col("__copies")).cast("long").alias("n_copies"),
         F.when(own, F.lit(0))
         .otherwise(F.col("__copies") - 1 + F.coalesce("__links", F.lit(0)))
         .cast("long")
         .alias("n_links"),
     )
+
+
+def near_duplicates(
+    docs: DataFrame,
+    threshold: float = 0.8,
+    width: int = 5,
+    tolerance: float = 1e-6,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """Every document's text class, near-duplicate group and number of links.
+
+    Shingles are the distinct runs of ``width`` words of a text (A-Z in lower case; words end at
+    blanks and controls from tab to carriage return); a shorter text with words has all of them as
+    its only shingle. Two documents are linked if the Jaccard similarity of their shingles is
+    at least ``threshold``. Returns ``id_col``, ``class_id`` (smallest id with the same shingles),
+    ``group_id`` (smallest id that links lead to), ``n_copies`` (documents of the class) and
+    ``n_links`` (documents it is linked to, copies included).
+
+    Every row is a document of its own, also with a null or repeated id; nulls come after all ids, so
+    a class or group is null only if no row of it has an id. Ids must be whole numbers below 2 ** 62.
+    Texts that are null or have no words are linked to nothing, each its own class and group.
+    An empty table gives no rows. No pair at or above the threshold that shares a bucket is lost
+    but with the tolerated probability.
+    """
+    return _groups(docs, threshold, width, tolerance, id_col, text_col).drop("__doc", "__kept")
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    threshold: float = 0.8,
+    width: int = 5,
+    tolerance: float = 1e-6,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, but only the first of every near-duplicate group.
+
+    That is the row with the smallest id, nulls last; of rows equal in id and text any one stays, and
+    another text under the same id is judged by itself. Rows without words all stay. No other column
+    may be called ``__doc`` or ``__again``.
+    """
+    groups = _groups(docs, threshold, width, tolerance, id_col, text_col)
+    gone = stored(groups.where(F.col("__doc") != F.col("__kept")).select("__doc").distinct(), "near-copies")
+    left = _keyed(docs, id_col, text_col).join(gone, "__doc", "left_anti")
+    made = F.col("__doc") >= 1 << 62
+    # Rows of one key are equal in id and text.
+    worded = F.coalesce(F.regexp_like(F.col(text_col), F.lit("[^\\x20\\x09-\\x0D]")), F.lit(False))
+    first = F.row_number().over(Window.partitionBy("__doc").orderBy(F.lit(0)))
+    repeated = left.where(made & worded).withColumn("__again", first).where(F.col("__again") == 1).drop("__again")
+    return left.where(~(made & worded)).unionByName(repeated).drop("__doc")

@@ -27,13 +27,16 @@ _PIECES = "start long, length long, doc_tokens long, ids binary"
 #: Characters on whose classes all versions of Unicode agree; texts of these may take the faster encoder.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ſ]*")
 
+#: Runs that long are left to the library that splits them without going back: the other gives up on long white space.
+_LONG_RUN = re.compile(r"\s{1000}|\S{1000}")
+
 
 @lru_cache(maxsize=4)
 def _encoder(path: str, ranks_path: str | None, pattern: str | None):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True  # their strings in a text are ordinary text
+    added = [token.content for token in whole.get_added_tokens_decoder().values()]
     plain = None
     if ranks_path:
         import base64
@@ -45,7 +48,12 @@ def _encoder(path: str, ranks_path: str | None, pattern: str | None):
         plain = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> np.ndarray:
-        if plain is not None and _PLAIN.fullmatch(text):
+        if (
+            plain is not None
+            and _PLAIN.fullmatch(text)
+            and not _LONG_RUN.search(text)
+            and not any(token in text for token in added)
+        ):
             return plain.encode_to_numpy(text, disallowed_special=())
         return np.array(whole.encode_batch([text], add_special_tokens=False)[0].ids, np.uint32)
 
@@ -99,7 +107,8 @@ def cut_pieces(
     (little-endian unsigned 32-bit), replacing columns of these names.
 
     ``ranks`` may name the same vocabulary as a rank file with its split ``pattern``: texts of plain
-    Latin characters are then encoded by the faster of two libraries, with the same ids.
+    Latin characters are then encoded by the faster of two libraries, with the same ids. Texts that hold
+    an added token (which is one id) or a run of 1,000 characters with or without white space are not.
     """
     docs = docs.drop("start", "length", "doc_tokens", "ids")
     others = ", ".join(
