@@ -56,10 +56,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every near-duplicate group; those without an id all stay."""
-    groups = jaccard.near_duplicates(docs, threshold=0.8, width=5)
-    gone = groups.where(F.col("group_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(stored(gone, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+    """The row with the smallest id of every near-duplicate group; other texts under the same id stay, and one row without an id of a group that has none."""
+    left = jaccard.one_of_each_group(_set_apart(docs, "doc_id", "text"), threshold=0.8, width=5)
+    return left.select(*[_own(c, "doc_id", "text").alias(c) for c in docs.columns])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
