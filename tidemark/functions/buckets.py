@@ -31,6 +31,11 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _hashed(column: str, kind: str) -> str:
+    """SQL text of what is hashed for a column: a point in time counts by its number, whose text no time zone changes."""
+    return f"unix_micros({column})" if kind.strip().lower() == "timestamp" else column
+
+
 def bucket_sql(columns: Sequence[str], n: int, bucket_fn: str) -> str:
     """SQL text of the bucket of already quoted columns; always in ``0 .. n-1``."""
     if bucket_fn not in HASHES:
@@ -43,7 +48,8 @@ def bucket_column(df: DataFrame, keys: Sequence[str], n: int, bucket_fn: str = "
     names = [field(df.schema, k).name for k in keys]
     if bucket_fn == "key_bytes":
         return F.pmod(F.xxhash64(key_bytes(df, names)), F.lit(int(n))).cast("int")
-    bucket = F.expr(bucket_sql([quote(c) for c in names], n, bucket_fn))
+    columns = [_hashed(quote(c), field(df.schema, c).dataType.simpleString()) for c in names]
+    bucket = F.expr(bucket_sql(columns, n, bucket_fn))
     if bucket_fn == "spark_hash":
         return bucket
     for name in names:
@@ -69,7 +75,7 @@ def register_bucket_function(
     A SQL function, not a UDF: Catalyst inlines its body, so it stays in generated code.
     """
     arguments = ", ".join(f"{quote(k)} {t}" for k, t in key_types.items())
-    body = bucket_sql([quote(k) for k in key_types], max(1, n), bucket_fn)
+    body = bucket_sql([_hashed(quote(k), t) for k, t in key_types.items()], max(1, n), bucket_fn)
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {quote(name)}({arguments}) RETURNS INT RETURN {body}")
 
 

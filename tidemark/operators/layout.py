@@ -13,6 +13,7 @@ from tidemark.functions.buckets import parse_ranges, rebalance_by_bucket, select
 from tidemark.functions.quantiles import cut_points, rank_column
 from tidemark.functions.zorder import interleave
 from tidemark.names import BUCKET
+from tidemark.sources.swap import finish, replace
 
 _Z = "__z"
 _TIE = "__tie"
@@ -48,17 +49,9 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType | None) -> Data
     return reader.parquet(path)
 
 
-def _overwrite(rows: DataFrame, path: str) -> None:
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
-
-
 def bucket_files(spark: SparkSession, path: str, buckets: Sequence[int] | str | None = None) -> dict[int, list[int]]:
     """File sizes by bucket, by listing the directories of the chosen buckets (all when none is listed)."""
+    finish(spark, path)
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
     chosen = parse_ranges(buckets) if isinstance(buckets, str) else list(buckets or [])
@@ -103,7 +96,7 @@ def compact(
     before = bucket_files(spark, path, buckets)
     poor = sorted(b for b, sizes in before.items() if sum(size < small for size in sizes) > 1)
     if poor:
-        _overwrite(rebalance_by_bucket(select_buckets(_stored(spark, path, schema), poor)), path)
+        replace(spark, path, rebalance_by_bucket(select_buckets(_stored(spark, path, schema), poor)), poor)
     return _result(spark, len(poor), before, bucket_files(spark, path, buckets))
 
 
@@ -142,7 +135,8 @@ def zorder(
         bits = rank_bits(files, len(cluster_columns(stored, columns)))
     keyed = with_zvalue(stored, columns, bits).withColumn(_TIE, F.monotonically_increasing_id())
     order = [BUCKET, _Z, _TIE]
-    _overwrite(keyed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop(_Z, _TIE), path)
+    ordered = keyed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop(_Z, _TIE)
+    replace(spark, path, ordered, sorted(before))
     return _result(spark, len(before), before, bucket_files(spark, path, buckets))
 
 

@@ -24,7 +24,7 @@ from tidemark.plans.fixtures import CHANGES_SQL, EVENT_CHANGES_SQL, ORDER_COLUMN
 from tidemark.plans.jobs import accept
 from tidemark.plans.options import MergeOptions
 from tidemark.session import scratch_dir
-from tidemark.sources import ingest, state as stored
+from tidemark.sources import bucketed, ingest, state as stored
 from tidemark.sources.catalog import TableDef, register_table
 from tidemark.sources.changes import read_changes, write_changes
 from tidemark.sources.state import StateTable
@@ -656,15 +656,18 @@ def _(spark, sf_dir):
     return _time_as_text(stored.read_state(spark, table, "base").drop(BUCKET))
 
 
-def _logged(spark, sf_dir, label: str) -> StateTable:
-    """Orders with their changes logged in four batches, cut across the order of changes."""
-    table = _new_table(spark, label)
+def _batches(spark, sf_dir) -> list[DataFrame]:
+    """The changes of orders in four batches, cut across the order of changes."""
+    changes, lines = _changes(spark, sf_dir), F.col(COLLECTION_ORDER)
+    return [changes.where(lines == n if n < 3 else lines >= 3) for n in range(4)]
+
+
+def _logged(spark, sf_dir, label: str, **options) -> StateTable:
+    """Orders with their changes logged in four batches."""
+    table = _new_table(spark, label, **options)
     stored.create_state(spark, _state(spark, sf_dir), table)
-    changes = _changes(spark, sf_dir)
-    for batch_id in range(4):
-        lines = F.col(COLLECTION_ORDER)
-        part = lines == batch_id if batch_id < 3 else lines >= 3
-        stored.append_changes(spark, table, changes.where(part), batch_id)
+    for batch_id, part in enumerate(_batches(spark, sf_dir)):
+        stored.append_changes(spark, table, part, batch_id)
     return table
 
 
@@ -685,13 +688,83 @@ def _(spark, sf_dir):
     return stored.read_state(spark, table, "base").drop(BUCKET)
 
 
-@checked(
-    "state_as_of",
-    f"""with s as ({STATE_SQL}), c as (select * from ({CHANGES_SQL}) as a where _collection_order <= 1),
+AS_OF_SQL = f"""with s as ({STATE_SQL}), c as (select * from ({CHANGES_SQL}) as a where _collection_order <= 1),
 f as materialized ({ranked('c', 'o_orderkey', CHANGE_ORDER)})
 select {COLS} from s where not exists (select 1 from f where f.o_orderkey = s.o_orderkey)
+union all select {COLS} from f where _op <> 'DELETE'"""
+
+
+@checked("state_as_of_folded", AS_OF_SQL)
+def _(spark, sf_dir):
+    table = _logged(spark, sf_dir, "as-of-folded", undo=True)
+    stored.fold_log(spark, table, 2)
+    stored.fold_log(spark, table)
+    stored.expire_log(spark, table)
+    return stored.read_state(spark, table, as_of=1).drop(BUCKET)
+
+
+@checked("state_rollback", AS_OF_SQL)
+def _(spark, sf_dir):
+    table = _logged(spark, sf_dir, "rollback", undo=True)
+    stored.fold_log(spark, table)
+    stored.expire_log(spark, table)
+    stored.rollback(spark, table, 1)
+    return stored.read_state(spark, table, "base").drop(BUCKET)
+
+
+def _bucketed(spark, sf_dir) -> bucketed.BucketedTable:
+    table = bucketed.BucketedTable(scratch_dir(spark, "bucketed"), ("o_orderkey",), 16)
+    bucketed.create_bucketed(spark, _state(spark, sf_dir), table)
+    for batch_id, part in enumerate(_batches(spark, sf_dir)):
+        bucketed.append_bucketed(spark, table, part, batch_id)
+    return table
+
+
+@checked("merge_bucketed_layout", UPSERT_SQL)
+def _(spark, sf_dir):
+    return bucketed.read_bucketed(spark, _bucketed(spark, sf_dir))
+
+
+@checked("fold_bucketed_layout", UPSERT_SQL)
+def _(spark, sf_dir):
+    table = _bucketed(spark, sf_dir)
+    bucketed.fold_bucketed(spark, table)
+    return bucketed.read_bucketed(spark, table, "base")
+
+
+@checked("recreate_over_log", STATE_SQL)
+def _(spark, sf_dir):
+    table = _logged(spark, sf_dir, "recreate")
+    stored.create_state(spark, _state(spark, sf_dir), table)
+    return stored.read_state(spark, table).drop(BUCKET)
+
+
+OTHER_COLS = ", ".join(ORDER_COLUMNS[1:])
+
+
+@checked(
+    "cow_null_key",
+    f"""with m as (select min(o_orderkey) as k from orders), s as (
+    select nullif(o_orderkey, k) as o_orderkey, {OTHER_COLS} from ({STATE_SQL}) as a, m
+), c as (
+    select nullif(o_orderkey, k) as o_orderkey, {OTHER_COLS}, _op, _txn_id, _total_order, _collection_order
+    from ({CHANGES_SQL}) as a, m
+), f as materialized ({ranked('c', 'o_orderkey', CHANGE_ORDER)})
+select {COLS} from s where not exists (select 1 from f where f.o_orderkey is not distinct from s.o_orderkey)
 union all select {COLS} from f where _op <> 'DELETE'""",
 )
+def _(spark, sf_dir):
+    table = StateTable(scratch_dir(spark, "null-key"), ("o_orderkey",), 16, "spark_hash")
+    first = load(spark, sf_dir, "orders").agg(F.min("o_orderkey")).first()[0]
+    key = F.when(F.col("o_orderkey") != first, F.col("o_orderkey"))
+    stored.create_state(spark, _state(spark, sf_dir).withColumn("o_orderkey", key), table)
+    logged, written = _changes(spark, sf_dir).withColumn("o_orderkey", key), F.col(COLLECTION_ORDER) <= 1
+    stored.append_changes(spark, table, logged, 0)
+    stored.write_state(spark, table, logged.where(written))
+    return stored.read_state(spark, table).drop(BUCKET)
+
+
+@checked("state_as_of", AS_OF_SQL)
 def _(spark, sf_dir):
     return stored.read_state(spark, _logged(spark, sf_dir, "as-of"), as_of=1).drop(BUCKET)
 

@@ -16,10 +16,10 @@ from tidemark.sources.catalog import TableDef, list_tables, require
 from tidemark.sources.state import (
     StateTable,
     base_schema,
-    declare_schema,
-    path_exists,
+    is_declared,
     read_state,
     replace_buckets,
+    replace_table,
 )
 
 IMPORT_MODES = ("overwrite", "append", "upsert", "skip")
@@ -41,7 +41,7 @@ def scan_csv(spark: SparkSession, path: str, table: TableDef, raw: bool = False)
 
 def _load(spark: SparkSession, rows: DataFrame, target: StateTable, mode: str, max_records_per_file: int) -> None:
     """Partitioned write by ``_bucket``; AQE decides how many files a bucket gets."""
-    if mode == "append" and path_exists(spark, target.schema_path):
+    if mode == "append" and is_declared(spark, target):
         # The table may have been evolved: its schema stays, and columns the file lacks are NULL.
         declared = base_schema(spark, target)
         if extra := [c for c in rows.columns if c not in declared.names]:
@@ -52,12 +52,12 @@ def _load(spark: SparkSession, rows: DataFrame, target: StateTable, mode: str, m
                 for f in declared.fields
             ]
         )
+        writer = rebalance_by_bucket(rows).write.mode("append").partitionBy(BUCKET)
+        if max_records_per_file > 0:
+            writer = writer.option("maxRecordsPerFile", max_records_per_file)
+        writer.parquet(target.base_path)
     else:
-        declare_schema(spark, target, rows.schema)
-    writer = rebalance_by_bucket(rows).write.mode(mode).partitionBy(BUCKET)
-    if max_records_per_file > 0:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(target.base_path)
+        replace_table(spark, target, rebalance_by_bucket(rows), max_records_per_file)
 
 
 def import_table(
@@ -75,7 +75,7 @@ def import_table(
     """
     if mode not in IMPORT_MODES:
         raise ValueError(f"mode must be one of {', '.join(IMPORT_MODES)}; got {mode!r}")
-    exists = path_exists(spark, target.base_path)
+    exists = is_declared(spark, target)
     if mode == "skip" and exists:
         return target
     rows = with_bucket(scan_csv(spark, csv_path, table), table.keys, target.buckets, target.bucket_fn)

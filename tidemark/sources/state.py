@@ -1,13 +1,16 @@
 """Stored state: copy-on-write base, merge-on-read log, and views over both.
 
 Layout under ``path``: ``base/_bucket=b/`` holds the folded state, ``log/_batch_id=n/`` one
-directory per appended batch and in it one per bucket, ``folded/`` the number of the last batch
-folded into the base, ``schema/`` an empty file with the declared schema of the base, so that no
-read has to look into data files for it. The schema also carries the table's settings, and
-opening a table with others is an error: rows would be looked for in the wrong buckets.
-
-Re-running any write repairs a torn one: a batch overwrites its own log directory, and
-applying the same folded changes again gives the same state.
+directory per appended batch and in it one per bucket, ``undo/_batch_id=n/`` what the keys of a
+folded batch were before it, ``folded`` the number of the last batch folded into the base, ``history``
+that of the first batch to which folds can be undone, ``schema``
+the declared schema of the base, so that no read has to look into data files for it. With the schema
+go the table's settings, and opening a table with others is an error: rows would be looked for in the
+wrong buckets.
+
+The base, its schema and the folded number change by :mod:`tidemark.sources.swap`: a write that dies
+has either not changed the table at all, or is finished by the next one to open it. A batch overwrites
+its own log directory.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +42,7 @@ from tidemark.operators.fold import fold_latest
 from tidemark.operators.merge import apply_folded, merge_changes, upsert_parts, with_delete_flags
 from tidemark.sources.catalog import missing_columns, target_schema, validate_schema
 from tidemark.sources.changes import META_FIELDS
+from tidemark.sources.swap import delete_path, finish, get_marker, numbers_in, path_exists, replace, set_marker
 
 
 @dataclass(frozen=True)
@@ -46,7 +50,8 @@ class StateTable:
     """Where a table is stored and how its changes are applied.
 
     ``guard_col`` (a business or metadata column) is kept in the base, and changes older
-    than the stored row are ignored; with ``delete_mode="soft"`` deleted keys keep theirs.
+    than the stored row are ignored; with ``delete_mode="soft"`` deleted keys keep theirs. With ``undo``,
+    folding the log keeps what it replaces, for views and rollbacks to batches before the fold.
     """
 
     path: str
@@ -57,6 +62,7 @@ class StateTable:
     order_by: tuple[str, ...] = DEFAULT_ORDER
     guard_col: str | None = None
     cluster_by: tuple[str, ...] = ()
+    undo: bool = False
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "keys", tuple(self.keys))
@@ -82,63 +88,81 @@ class StateTable:
     def folded_path(self) -> str:
         return f"{self.path.rstrip('/')}/folded"
 
+    @property
+    def undo_path(self) -> str:
+        return f"{self.path.rstrip('/')}/undo"
+
+    @property
+    def history_path(self) -> str:
+        return f"{self.path.rstrip('/')}/history"
+
+    @property
+    def streams_path(self) -> str:
+        return f"{self.path.rstrip('/')}/streams"
+
+    @property
+    def null_keys(self) -> bool:
+        """Whether rows without a key have a bucket."""
+        return self.bucket_fn == "spark_hash"
+
     def bucketed(self, rows: DataFrame) -> DataFrame:
         """Rows with their bucket; a bucket that came with the source is recomputed."""
         return with_bucket(rows.drop(BUCKET), self.keys, self.buckets, self.bucket_fn)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on the file system its scheme names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def create_state(spark: SparkSession, rows: DataFrame, table: StateTable) -> StateTable:
-    """Write the first base, replacing one that is there."""
+    """Write the first base. A table that is there is replaced as a whole, with its log, history and streams."""
     rows = table.bucketed(rows)
     if table.delete_mode == "soft":
         rows = with_delete_flags(rows)
-    declare_schema(spark, table, rows.schema)
-    rebalance_by_bucket(rows).write.mode("overwrite").partitionBy(BUCKET).parquet(table.base_path)
+    replace_table(spark, table, rebalance_by_bucket(rows))
     return table
 
 
-def _empty(spark: SparkSession, schema: T.StructType, path: str) -> None:
-    spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+def replace_table(spark: SparkSession, table: StateTable, rows: DataFrame, max_records_per_file: int = 0) -> None:
+    """Make bucketed ``rows`` all there is of the table: batches logged before do not apply to them."""
+    old = [table.log_path, table.undo_path, table.folded_path, table.history_path, table.streams_path]
+    declared = {table.schema_path: _declaration(table, rows.schema)}
+    replace(spark, table.base_path, rows, None, declared, old, max_records_per_file)
 
 
 def _data_fields(schema: T.StructType) -> list[T.StructField]:
     return [f for f in schema.fields if f.name != BUCKET]
 
 
-#: Metadata entry of the first declared column that holds the table's settings.
-SETTINGS = "tidemark.table"
-
-
 def _settings(table: StateTable) -> dict:
     own = asdict(table)
-    del own["path"], own["cluster_by"]  # neither says where a row is
+    del own["path"], own["cluster_by"], own["undo"]  # none says where a row is
     return json.loads(json.dumps(own))
 
 
+def _declaration(table: StateTable, schema: T.StructType) -> dict:
+    return {"schema": T.StructType(_data_fields(schema)).jsonValue(), "settings": _settings(table)}
+
+
 def declare_schema(spark: SparkSession, table: StateTable, schema: T.StructType) -> None:
     """Record the base schema (without the bucket, which the directories carry) and the table's settings."""
-    first, *rest = _data_fields(schema)
-    noted = {**first.metadata, SETTINGS: json.dumps(_settings(table))}
-    first = T.StructField(first.name, first.dataType, first.nullable, noted)
-    _empty(spark, T.StructType([first, *rest]), table.schema_path)
+    set_marker(spark, table.schema_path, _declaration(table, schema))
+
+
+def is_declared(spark: SparkSession, table: StateTable) -> bool:
+    """Whether there is a whole table: its base is put in place at once, and declared with it."""
+    finish(spark, table.base_path)
+    return get_marker(spark, table.schema_path) is not None and path_exists(spark, table.base_path)
 
 
 def base_schema(spark: SparkSession, table: StateTable) -> T.StructType:
     """Declared schema of the base, bucket last; fails if the table was made with other settings."""
-    first, *rest = spark.read.parquet(table.schema_path).schema.fields
-    noted = dict(first.metadata)
-    made, asked = json.loads(noted.pop(SETTINGS, "{}")), _settings(table)
-    if other := {name: (value, asked[name]) for name, value in made.items() if value != asked[name]}:
+    finish(spark, table.base_path)
+    made = get_marker(spark, table.schema_path)
+    if made is None:
+        raise ValueError(f"no state at {table.path}")
+    asked = _settings(table)
+    if other := {name: (value, asked[name]) for name, value in made["settings"].items() if value != asked[name]}:
         told = ", ".join(f"{name} {was!r}, not {now!r}" for name, (was, now) in other.items())
         raise ValueError(f"the table at {table.path} has {told}")
-    first = T.StructField(first.name, first.dataType, first.nullable, noted)
-    return T.StructType([first, *rest, T.StructField(BUCKET, T.IntegerType())])
+    fields = T.StructType.fromJson(made["schema"]).fields
+    return T.StructType([*fields, T.StructField(BUCKET, T.IntegerType())])
 
 
 def _base(spark: SparkSession, table: StateTable, buckets: Sequence[int] | str | None) -> DataFrame:
@@ -155,19 +179,18 @@ def log_schema(spark: SparkSession, table: StateTable) -> T.StructType:
 
 def folded_upto(spark: SparkSession, table: StateTable) -> int:
     """Number of the last batch folded into the base; -1 if none."""
-    if not path_exists(spark, table.folded_path):
-        return -1
-    return spark.read.parquet(table.folded_path).agg(F.max(BATCH_ID)).first()[0]
+    finish(spark, table.base_path)
+    return get_marker(spark, table.folded_path, -1)
 
 
 def logged_batches(spark: SparkSession, table: StateTable) -> list[int]:
     """Numbers of the batches in the log, folded ones included, by the names of their directories."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(table.log_path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(target):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(target)]
-    return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{BATCH_ID}="))
+    return numbers_in(spark, table.log_path, BATCH_ID)
+
+
+def undo_batches(spark: SparkSession, table: StateTable) -> list[int]:
+    """Numbers of the folded batches that can be undone."""
+    return numbers_in(spark, table.undo_path, BATCH_ID)
 
 
 def expire_log(spark: SparkSession, table: StateTable) -> list[int]:
@@ -178,11 +201,21 @@ def expire_log(spark: SparkSession, table: StateTable) -> list[int]:
     """
     folded = [n for n in logged_batches(spark, table) if n <= folded_upto(spark, table)]
     for n in folded:
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{table.log_path}/{BATCH_ID}={n}")
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete_path(spark, f"{table.log_path}/{BATCH_ID}={n}")
     return folded
 
 
+def expire_undo(spark: SparkSession, table: StateTable, keep: int) -> list[int]:
+    """Delete what folds have kept for undoing them, but for the last ``keep`` batches; returns the numbers deleted."""
+    had = undo_batches(spark, table)
+    gone = had[: max(0, len(had) - keep)]
+    if gone:
+        set_marker(spark, table.history_path, max(gone))
+    for n in gone:
+        delete_path(spark, f"{table.undo_path}/{BATCH_ID}={n}")
+    return gone
+
+
 def read_log(
     spark: SparkSession, table: StateTable, as_of: int | None = None, unfolded_only: bool = True
 ) -> DataFrame | None:
@@ -205,7 +238,7 @@ def read_state(
 ) -> DataFrame:
     """State as stored (``base``) or with the logged changes applied (``snapshot``).
 
-    ``as_of`` stops the snapshot after that batch. Bucket and batch choices prune files. Only
+    ``as_of`` stops the snapshot after that batch, also before a fold whose batches can be undone. Bucket and batch choices prune files. Only
     the buckets that the log has changes for are merged; the others are read as they are. The
     driver gets the numbers of those buckets.
     """
@@ -214,7 +247,7 @@ def read_state(
     if view == "base":
         return base
     if as_of is not None and as_of < folded_upto(spark, table):
-        raise ValueError(f"batch {as_of} is already folded into a later base")
+        return _before_folds(spark, table, base, as_of, buckets)
     log = read_log(spark, table, as_of)
     if log is None:
         return base
@@ -239,32 +272,111 @@ def _merge(base: DataFrame, changes: DataFrame, table: StateTable, deleted_at: C
         order_by=table.order_by,
         guard_col=table.guard_col,
         deleted_at=deleted_at,
-        null_safe=False,  # no bucket has a row without a key
+        null_safe=table.null_keys,
     )
 
 
+_PRESENT = "__present"
+_BEFORE = "__before_batch"
+
+
+def _undo_schema(spark: SparkSession, table: StateTable) -> T.StructType:
+    numbers = [T.StructField(_PRESENT, T.BooleanType()), T.StructField(BATCH_ID, T.IntegerType())]
+    return T.StructType([*base_schema(spark, table).fields, *numbers])
+
+
+def _write_undo(spark: SparkSession, table: StateTable, log: DataFrame, deleted_at: Column | None) -> None:
+    """For every key of every logged batch, the row it had before that batch, or that it had none.
+
+    Keys and batches are taken together as one key, and the merge of a snapshot gives the rows: the base
+    once for each batch that changes a key, with the batches before that one. A batch counts by its last
+    change of a key, so a key has at most as many rows as batches, whatever it had of changes.
+    """
+    latest = fold_latest(log.where(F.col(OP).isin(*OPS)), [*table.keys, BATCH_ID], table.order_by)
+    latest = latest.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        hit = latest.select(*table.keys, BUCKET, F.col(BATCH_ID).alias(_BEFORE))
+        touched = sorted(r[0] for r in latest.select(BUCKET).distinct().collect())
+        keys = hit.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(table.keys)], _BEFORE)
+        same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(table.keys)]
+        base = _base(spark, table, touched)
+        then = base.join(keys, same).select(*base.columns, _BEFORE)
+        earlier = latest.join(keys, [*same, F.col(BATCH_ID) < F.col(_BEFORE)]).select(
+            *[c for c in latest.columns if c != BATCH_ID], _BEFORE
+        )
+        before = merge_changes(
+            then, earlier, [*table.keys, _BEFORE], delete_mode=table.delete_mode, order_by=table.order_by,
+            guard_col=table.guard_col, deleted_at=deleted_at,
+        )
+        found = before.withColumn(_PRESENT, F.lit(True)).drop(BUCKET).alias("b")
+        at = [F.col(f"h.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*table.keys, _BEFORE)]
+        rows = hit.alias("h").join(found, at, "left")
+        own = [F.col(f"h.{c}" if c in table.keys else f"b.{c}").alias(c) for c in before.columns if c not in (BUCKET, _BEFORE)]
+        rows = rows.select(
+            *own,
+            F.coalesce(F.col(f"b.{_PRESENT}"), F.lit(False)).alias(_PRESENT),
+            F.col(f"h.{_BEFORE}").alias(BATCH_ID),
+            F.col(f"h.{BUCKET}").alias(BUCKET),
+        )
+        writer = rebalance_by_bucket(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(BATCH_ID, BUCKET).parquet(table.undo_path)
+    finally:
+        latest.unpersist()
+
+
+def _undone(spark: SparkSession, table: StateTable, as_of: int, buckets: Sequence[int] | str | None) -> DataFrame:
+    """Per key that batches after ``as_of`` changed, what it was then: by the first of these batches."""
+    if as_of < get_marker(spark, table.history_path, folded_upto(spark, table)):
+        raise ValueError(f"batch {as_of} is already folded into a later base, and cannot be undone")
+    rows = select_buckets(spark.read.schema(_undo_schema(spark, table)).parquet(table.undo_path), buckets)
+    return fold_latest(rows.where(F.col(BATCH_ID) > as_of), table.keys, [BATCH_ID], descending=False)
+
+
+def _before_folds(
+    spark: SparkSession, table: StateTable, base: DataFrame, as_of: int, buckets: Sequence[int] | str | None
+) -> DataFrame:
+    first = _undone(spark, table, as_of, buckets)
+    match = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in table.keys]
+    kept = base.alias("t").join(first.select(*table.keys).alias("s"), match, "left_anti")
+    return kept.unionByName(first.where(_PRESENT).select(*base.columns))
+
+
+def rollback(spark: SparkSession, table: StateTable, to_batch: int) -> list[int]:
+    """Take back every batch after ``to_batch``, folded or not; returns the buckets rewritten.
+
+    Folded batches must have been folded with ``undo``. The log and the undo rows of the batches go in the
+    same step as the base changes, so their numbers are free again. Streams into the table must be
+    stopped, and start from a new checkpoint.
+    """
+    if folded_upto(spark, table) < to_batch:
+        fold_log(spark, table, to_batch)
+    gone = [f"{table.log_path}/{BATCH_ID}={n}" for n in logged_batches(spark, table) if n > to_batch]
+    gone += [f"{table.undo_path}/{BATCH_ID}={n}" for n in undo_batches(spark, table) if n > to_batch]
+    if folded_upto(spark, table) <= to_batch:
+        for path in gone:
+            delete_path(spark, path)
+        return []
+    first = _undone(spark, table, to_batch, None)
+    touched = sorted(r[0] for r in first.select(BUCKET).distinct().collect())
+    rows = _before_folds(spark, table, _base(spark, table, touched), to_batch, touched)
+    replace(spark, table.base_path, rebalance_by_bucket(rows), touched, {table.folded_path: to_batch}, gone)
+    return touched
+
+
 def replace_buckets(
-    spark: SparkSession, table: StateTable, rows: DataFrame, touched: Sequence[int], placed: bool = False
+    spark: SparkSession,
+    table: StateTable,
+    rows: DataFrame,
+    touched: Sequence[int],
+    placed: bool = False,
+    markers: dict | None = None,
 ) -> None:
     """Make ``rows`` the whole content of the touched buckets; other buckets stay as they are.
 
     ``placed`` rows are written from the partitions they are in; others are brought
-    together by bucket first.
+    together by bucket first. ``markers`` change with them.
     """
-    written = Observation()
-    rows = rows if placed else rebalance_by_bucket(rows)
-    (
-        rows.observe(written, F.collect_set(BUCKET).alias("buckets"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(table.base_path)
-    )
-    # A dynamic overwrite leaves partitions alone that received no row: clear those.
-    for bucket in sorted(set(touched) - set(written.get["buckets"])):
-        directory = f"{table.base_path}/{BUCKET}={bucket}"
-        if path_exists(spark, directory):
-            _empty(spark, T.StructType(_data_fields(rows.schema)), directory)
+    replace(spark, table.base_path, rows if placed else rebalance_by_bucket(rows), touched, markers)
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -290,10 +402,12 @@ def write_state(
     deleted_at: Column | None = None,
     semantics: str = "upsert",
     insert_mode: str = "append",
+    markers: dict | None = None,
 ) -> list[int]:
     """Copy-on-write: apply flat changes to the base, rewriting only the buckets they touch.
 
-    Phased semantics with appended inserts double rows when a batch is applied again.
+    Phased semantics with appended inserts double rows when a batch is applied again. ``markers``
+    (folder to value) are set together with the change.
 
     Returns those buckets. The folded batch is kept while it is used more than once, and
     measured: if its keys fit a broadcast, the state is neither shuffled to be joined nor to
@@ -305,13 +419,15 @@ def write_state(
         sizes = folded.groupBy(BUCKET).agg(F.sum(_key_size(folded, table.keys))).collect()
         touched = sorted(bucket for bucket, _ in sizes)
         if not touched:
+            for folder, value in (markers or {}).items():
+                set_marker(spark, folder, value)
             return []
         if semantics != "upsert":
             base = _base(spark, table, touched)
             merged = apply_folded(
                 base, folded, table.keys, semantics, table.delete_mode, insert_mode, table.guard_col, deleted_at
             )
-            replace_buckets(spark, table, merged, touched)
+            replace_buckets(spark, table, merged, touched, markers=markers)
             return touched
         small = sum(size for _, size in sizes) <= broadcast_limit(spark)
         kept, added = upsert_parts(
@@ -321,11 +437,11 @@ def write_state(
             delete_mode=table.delete_mode,
             guard_col=table.guard_col,
             deleted_at=deleted_at,
-            null_safe=False,  # no bucket has a row without a key
+            null_safe=table.null_keys,
             small=small,
         )
         merged = kept.unionByName(rebalance_by_bucket(added) if small else added)
-        replace_buckets(spark, table, merged, touched, placed=small)
+        replace_buckets(spark, table, merged, touched, placed=small, markers=markers)
         return touched
     finally:
         folded.unpersist()
@@ -353,11 +469,11 @@ def stream_offset(spark: SparkSession, table: StateTable, stream_id: str) -> int
     A stream counts from zero again when its checkpoint is new; without an offset its
     batches would replace, or hide behind, those of the stream before it.
     """
-    path = f"{table.path.rstrip('/')}/streams/{stream_id}"
-    if path_exists(spark, f"{path}/_SUCCESS"):
-        return spark.read.parquet(path).first()[0]
-    offset = next_batch_id(spark, table)
-    spark.createDataFrame([(offset,)], "first_batch int").coalesce(1).write.mode("overwrite").parquet(path)
+    folder = f"{table.streams_path}/{stream_id}"
+    offset = get_marker(spark, folder)
+    if offset is None:
+        offset = next_batch_id(spark, table)
+        set_marker(spark, folder, offset)
     return offset
 
 
@@ -381,16 +497,19 @@ def fold_log(
 ) -> int:
     """Apply logged batches up to ``upto`` to the base; returns the last batch folded.
 
-    The marker is written after the base: a failure in between only means that the batches
-    are applied once more. :func:`expire_log` then removes the folded batches.
+    The number changes together with the base. With the table's ``undo``, what the batches replace is
+    written first, again by a fold that runs again. :func:`expire_log` then removes the folded batches.
     """
     done = folded_upto(spark, table)
     last = max((n for n in logged_batches(spark, table) if n > done and (upto is None or n <= upto)), default=None)
     if last is None:
         return done
     log = read_log(spark, table, last)
-    write_state(spark, table, log.drop(BATCH_ID), deleted_at)
-    spark.createDataFrame([(last,)], f"{BATCH_ID} int").coalesce(1).write.mode("overwrite").parquet(table.folded_path)
+    if table.undo:
+        _write_undo(spark, table, log, deleted_at)
+    history = get_marker(spark, table.history_path, done) if table.undo else last
+    markers = {table.folded_path: last, table.history_path: history}
+    write_state(spark, table, log.drop(BATCH_ID), deleted_at, markers=markers)
     return last
 
 
@@ -414,11 +533,11 @@ def ensure_state(
     type always fails.
     """
     expected = expected_schema(changes, table)
-    if not path_exists(spark, table.base_path):
+    if not is_declared(spark, table):
         if not auto_create:
             raise ValueError(f"no state at {table.base_path} and auto_create is off")
-        declare_schema(spark, table, expected)
-        _empty(spark, T.StructType(_data_fields(expected)), f"{table.base_path}/{BUCKET}=0")
+        fields = T.StructType([*_data_fields(expected), T.StructField(BUCKET, T.IntegerType())])
+        replace_table(spark, table, spark.createDataFrame([], fields))
         return []
     actual = base_schema(spark, table)
     added = missing_columns(actual, expected)
