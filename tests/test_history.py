@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.functions import quantiles
 from tidemark.functions.buckets import bucket_column
 from tidemark.names import BUCKET
+from tidemark.operators import layout
 from tidemark.sources import bucketed, state, swap
 from tidemark.sources.bucketed import BucketedTable
 from tidemark.sources.state import StateTable
@@ -208,3 +210,31 @@ def test_bucketed_tables_refuse_what_they_can_not_hold(spark, folder):
         bucketed.append_bucketed(spark, table, changes_of(spark, []), 0)
     bucketed.create_bucketed(spark, base_of(spark, 3), table)
     assert bucketed.read_bucketed(spark, table).count() == 3
+
+
+def test_ranks_and_depths_by_ranges(spark, folder):
+    made = [(i, (i * 7) % 50 if i % 11 else None, f"{'x' * 40}{i % 90:03d}", float(i % 13)) for i in range(400)]
+    df = spark.createDataFrame(made, "id long, n long, s string, d double").repartition(7)
+    for column, at in (("n", 1), ("s", 2), ("d", 3)):
+        values = sorted(r[at] for r in made if r[at] is not None)
+        want = {r[0]: sum(v < r[at] for v in values) * 64 // len(values) if r[at] is not None else 0 for r in made}
+        got = {r["id"]: r["rank"] for r in quantiles.with_rank(df, column, 64, "rank").collect()}
+        assert got == want
+    path = f"{folder}/t"
+    bounds = [(0, 10), (5, 20), (10, 12), (30, 40), (30, 30), (41, 50)]
+    for low, high in bounds:
+        part = spark.createDataFrame([(low,), (high,), (None,)], "v long")
+        part.coalesce(1).write.mode("append").parquet(path)
+    row = layout.clustering_depth(spark, path, "v").collect()[0]
+    depth = lambda p: sum(low <= p <= high for low, high in bounds)
+    assert (row["files"], row["max_depth"]) == (6, max(depth(low) for low, _ in bounds))
+    assert row["mean_depth"] == pytest.approx(sum(depth(low) for low, _ in bounds) / 6)
+    assert row["mean_read"] == pytest.approx(sum(depth(x) for b in bounds for x in b) / 12)
+
+
+def test_zorder_keeps_no_cut_points(spark, folder):
+    """The plan of the rewrite holds no list of values, for one column or several."""
+    df = spark.range(5000).selectExpr("id", "id % 77 AS a", "cast(id AS string) AS b", "0 AS _bucket")
+    plan = layout.with_zvalue(df, ["a", "b", "id"], 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000
+    assert layout.with_zvalue(df, ["a", "b", "id"], 10).select("__z").distinct().count() > 1000

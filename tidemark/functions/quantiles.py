@@ -1,13 +1,14 @@
-"""Cut points of a column (numbers by mergeable sketches, text by range partitions), and the rank of a value among them."""
+"""Cut points of a column, the rank of a value among them, and ranks of all values without cut points."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keybytes import ntz_micros
+from tidemark.session import scratch_dir
 
 
 def ordinal(df: DataFrame, column: str) -> Column:
@@ -68,3 +69,40 @@ def rank_column(df: DataFrame, column: str, cuts: list) -> Column:
         return F.when(value >= F.try_element_at(points, rank + step), rank + step).otherwise(rank)
 
     return F.aggregate(steps, F.lit(0), narrow)
+
+
+def running_total(rows: DataFrame, order_by: Sequence[str], value: str) -> tuple[DataFrame, int]:
+    """Add ``__before``, the sum of ``value`` (long) over the rows before each one in the order, and return the sum of all.
+
+    Rows are ordered by ranges, which are stored; each is summed by itself, and then raised by the sum of
+    the ranges before it. The driver gets one number per range, and a range has one task whatever the
+    number of rows. Rows equal in the order should not be more than a task holds.
+    """
+    spark, path = rows.sparkSession, scratch_dir(rows.sparkSession, "ranges")
+    ranged = rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    ranged = ranged.withColumn("__range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    sums, total = [], 0
+    for at, n in sorted(map(tuple, ranged.groupBy("__range").agg(F.sum(value)).collect())):
+        sums.append((at, total))
+        total += n
+    ahead = spark.createDataFrame(sums, "__range int, __ahead long")
+    within = Window.partitionBy("__range").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(value).over(within), F.lit(0)) + F.col("__ahead")
+    summed = ranged.join(F.broadcast(ahead), "__range").withColumn("__before", before)
+    return summed.drop("__range", "__ahead"), total
+
+
+def with_rank(df: DataFrame, column: str, parts: int, name: str) -> DataFrame:
+    """Add the share of rows with a smaller value, in whole ``parts``: 0 for the lowest and for NULL, below ``parts`` for all.
+
+    Values are counted with partial results before the shuffle, ranked by ranges, and joined back: equal
+    values get one rank, a frequent value is one row of the ranks, and AQE splits its rows in the join.
+    """
+    keyed = df.withColumn("__v", ordinal(df, column))
+    counts = keyed.where(F.col("__v").isNotNull()).groupBy("__v").agg(F.count(F.lit(1)).alias("__n"))
+    summed, total = running_total(counts, ["__v"], "__n")
+    rank = F.expr(f"cast(cast(__before as decimal(38, 0)) * {parts} div {max(total, 1)} as bigint)")
+    ranks = summed.select("__v", rank.alias(name))
+    return keyed.join(ranks, "__v", "left").withColumn(name, F.coalesce(name, F.lit(0))).drop("__v")

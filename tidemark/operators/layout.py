@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.buckets import parse_ranges, rebalance_by_bucket, select_buckets
-from tidemark.functions.quantiles import cut_points, rank_column
+from tidemark.functions.quantiles import ordinal, running_total, with_rank
 from tidemark.functions.zorder import interleave
 from tidemark.names import BUCKET
 from tidemark.sources.swap import finish, replace
@@ -36,11 +36,10 @@ def with_zvalue(df: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFra
     columns = cluster_columns(df, columns)
     if bits * len(columns) > 63:
         raise ValueError(f"{bits} bits of {len(columns)} columns do not fit a number of 63 bits")
-    _, cuts = cut_points(df, columns, 1 << bits)
-    # Ranks in a projection of their own: the interleaving reads each of them many times.
-    ranks = [f"__r_{c}" for c in columns]
-    ranked = df.select("*", *[rank_column(df, c, cuts[c]).alias(r) for c, r in zip(columns, ranks)])
-    return ranked.withColumn(_Z, interleave([F.col(r) for r in ranks], bits)).drop(*ranks)
+    ranks, ranked = [f"__r_{c}" for c in columns], df
+    for column, name in zip(columns, ranks):
+        ranked = with_rank(ranked, column, 1 << bits, name)
+    return ranked.select(*df.columns, interleave([F.col(r) for r in ranks], bits).alias(_Z))
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
@@ -120,8 +119,9 @@ def zorder(
 ) -> DataFrame:
     """Rewrite buckets so that rows close in ``columns`` share files.
 
-    Rows are range-partitioned by bucket and Z-value. A row number of the scan ends the
-    range key, so that even equal rows can be spread over several files. ``files`` follows from
+    Rows are range-partitioned by bucket and Z-value; one column needs no ranks and is its own. A row
+    number of the scan ends the range key, so that even equal rows can be spread over several files.
+    Nothing the driver holds grows with the files or rows. ``files`` follows from
     the stored bytes and the advisory size (but is at least one a bucket), ``bits`` from
     ``files``, if not given. Returns the row of :func:`compact`.
     """
@@ -131,9 +131,12 @@ def zorder(
     stored = select_buckets(_stored(spark, path, schema), buckets)
     if files is None:
         files = max(1, len(before), -(-sum(map(sum, before.values())) // advisory_bytes(spark)))
-    if bits is None:
-        bits = rank_bits(files, len(cluster_columns(stored, columns)))
-    keyed = with_zvalue(stored, columns, bits).withColumn(_TIE, F.monotonically_increasing_id())
+    spelled = cluster_columns(stored, columns)
+    if len(spelled) == 1:
+        keyed = stored.withColumn(_Z, ordinal(stored, spelled[0]))
+    else:
+        keyed = with_zvalue(stored, spelled, bits or rank_bits(files, len(spelled)))
+    keyed = keyed.withColumn(_TIE, F.monotonically_increasing_id())
     order = [BUCKET, _Z, _TIE]
     ordered = keyed.repartitionByRange(files, *order).sortWithinPartitions(*order).drop(_Z, _TIE)
     replace(spark, path, ordered, sorted(before))
@@ -150,3 +153,37 @@ def layout_stats(
     by = [BUCKET] if BUCKET in files.columns else []
     ranges = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
     return files.groupBy(*by, "file_path", "file_bytes").agg(F.count(F.lit(1)).alias("row_count"), *ranges)
+
+
+def clustering_depth(
+    spark: SparkSession, path: str, columns: str | Sequence[str], schema: T.StructType | None = None
+) -> DataFrame:
+    """How many files a value of a column may be in, by the files' value ranges: one row per column.
+
+    ``files`` with a value, ``mean_depth`` (files whose range holds the smallest value of a file, on
+    average over the files: 1 if no ranges overlap), ``max_depth``, and ``mean_read`` (files a lookup of a
+    row's value has to read, on average over the rows, taking a file's rows to be at the ends of
+    its range). Ranges are opened and closed in the order of their ends, by ranges of that order.
+    """
+    files = layout_stats(spark, path, names := cluster_columns(_stored(spark, path, schema), columns), schema)
+    out = None
+    for name in names:
+        held = files.where(F.col(f"min_{name}").isNotNull())
+        one = F.lit(1).cast("long")
+        opened = held.select(F.col(f"min_{name}").alias("v"), F.lit(0).alias("closes"), one.alias("n"), "row_count")
+        closed = held.select(F.col(f"max_{name}").alias("v"), F.lit(1).alias("closes"), (-one).alias("n"), "row_count")
+        swept, _ = running_total(opened.unionByName(closed), ["v", "closes"], "n")
+        opens, depth = F.col("closes") == 0, F.col("__before") + F.greatest("n", F.lit(0))
+        # Ranges that open at one value hold it together: the deepest of them counts for all.
+        at = swept.withColumn("depth", depth).groupBy("v", "closes").agg(
+            F.max("depth").alias("depth"), F.count(F.lit(1)).alias("ends"), F.sum("row_count").alias("ended")
+        )
+        read = F.sum(F.col("depth") * F.col("ended")) / F.sum("ended")
+        row = at.agg(
+            F.coalesce(F.sum(F.when(opens, F.col("ends"))), F.lit(0)).alias("files"),
+            (F.sum(F.when(opens, F.col("depth") * F.col("ends"))) / F.sum(F.when(opens, F.col("ends")))).alias("mean_depth"),
+            F.max("depth").alias("max_depth"),
+            read.alias("mean_read"),
+        ).select(F.lit(name).alias("column_name"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out

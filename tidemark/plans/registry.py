@@ -904,6 +904,30 @@ def _(spark, sf_dir):
     return orders.select("o_orderkey", "o_custkey", z.alias("z"))
 
 
+@checked(
+    "clustering_depth",
+    """select column_name, 64 as wanted_files, true as clustered, true as bounded
+from (values ('l_partkey'), ('l_shipdate')) as t(column_name)""",
+)
+def _(spark, sf_dir):
+    """Ranges of two columns over 64 files: after Z-ordering a value is in fewer of them."""
+    table = _new_table(spark, "depth", ["l_orderkey"])
+    stored.create_state(spark, load(spark, sf_dir, "lineitem"), table)
+    names = ["l_partkey", "l_shipdate"]
+    stored.zorder_state(spark, table, ["l_orderkey"], files=64)
+    # Results are a row a column, and the files they tell of are replaced below.
+    before = layout.clustering_depth(spark, table.base_path, names).collect()
+    stored.zorder_state(spark, table, names, files=64)
+    was = spark.createDataFrame([(r["column_name"], r["mean_depth"]) for r in before], "column_name string, was double")
+    after = layout.clustering_depth(spark, table.base_path, names).join(F.broadcast(was), "column_name")
+    return after.select(
+        "column_name",
+        F.lit(64).alias("wanted_files"),
+        (F.col("mean_depth") < F.col("was")).alias("clustered"),
+        F.col("mean_depth").between(1, F.col("files")).alias("bounded"),
+    )
+
+
 @checked(
     "layout_stats",
     f"""select {md5_bucket('o_orderkey')} as _bucket, count(*) as row_count, min(o_orderkey) as min_key,
