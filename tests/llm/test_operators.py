@@ -422,3 +422,38 @@ def test_long_runs_and_added_tokens_have_the_library_ids(spark):
         ids = np.concatenate([got[i][at] for at in sorted(got[i])])
         assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
     assert got[2][0].tolist() == [64, 50256, 65, 0]
+
+
+def test_likelihood_ratios_by_brute_force(spark):
+    """``llr`` and ``kept`` from plain counts of the same hash buckets."""
+    import regex
+    import xxhash
+
+    def buckets(text):
+        tokens = regex.findall(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]+", text or "")
+        hashes = [xxhash.xxh64_intdigest(t.encode(), seed=42) for t in tokens]
+        pairs = [xxhash.xxh64_intdigest(t.encode(), seed=h) for h, t in zip(hashes, tokens[1:])]
+        return [h % quality.BUCKETS for h in hashes] + [quality.BUCKETS + h % quality.BUCKETS for h in pairs]
+
+    docs = {r["doc_id"]: buckets(r["text"]) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").collect()
+    trusted = {r["doc_id"] for r in labels if r["quality"] == 1 and r["toxic"] == 0}
+    every = collections.Counter(b for grams in docs.values() for b in grams)
+    good = collections.Counter(b for d, grams in docs.items() if d in trusted for b in grams)
+    totals = [[sum(n for b, n in c.items() if (b >= quality.BUCKETS) == pair) for pair in (False, True)] for c in (every, good)]
+
+    def weight(b):
+        pair = b >= quality.BUCKETS
+        share = [(c[b] + 1) / (total[pair] + quality.BUCKETS) for c, total in ((every, totals[0]), (good, totals[1]))]
+        return round(math.log(share[1] / share[0]) * quality.UNIT)
+
+    weights = {b: weight(b) for b in every}
+    for r in checked.op7_quality_rules(spark, DATA).collect():
+        grams = docs[r["doc_id"]]
+        if not grams:
+            assert r["llr"] is None and not r["kept"]
+            continue
+        llr = sum(weights[b] for b in grams) / len(grams) / quality.UNIT
+        assert r["llr"] == pytest.approx(llr, abs=2e-6)
+        if abs(llr - checked.QUALITY_THRESHOLD) > 1e-5:
+            assert r["kept"] == (not r["base_failed"] and llr >= checked.QUALITY_THRESHOLD)
