@@ -457,3 +457,53 @@ def test_likelihood_ratios_by_brute_force(spark):
         assert r["llr"] == pytest.approx(llr, abs=2e-6)
         if abs(llr - checked.QUALITY_THRESHOLD) > 1e-5:
             assert r["kept"] == (not r["base_failed"] and llr >= checked.QUALITY_THRESHOLD)
+
+
+def test_licence_notices_by_votes(spark):
+    """Standing key phrases alone are places; whole notices score by their rare words, also with words put in."""
+    whole = licenses._BSD.replace("\n", " ")
+    torn = whole.replace("provided that the", "provided always that each of the").replace("disclaimer", "notes")
+    texts = [
+        "This file is under the Mozilla Public License", "MIT License", "see the Apache License 2.0",
+        "permission is hereby granted free of charge", "Redistribution and use in source and binary forms are permitted",
+        whole, torn, "mit the license", "license mit license " * 3000, "cc by", "redistribution of binary forms and use in source",
+        licenses._GPL_3.upper(),
+    ]
+    docs = spark.createDataFrame(list(enumerate([*texts, *["the words of any text"] * 30])), "doc_id long, text string")
+    got = {r["doc_id"]: r["places"] for r in licenses.scan_licenses(docs).where(f"doc_id < {len(texts)}").collect()}
+    labels = [sorted({p["label"] for p in got[i]}) for i in range(len(texts))]
+    assert labels == [["mpl-2.0"], ["mit"], ["apache-2.0"], ["mit"], ["bsd"], ["bsd"], ["bsd"], [], ["mit"], ["cc-by"], [], ["gpl", "gpl-3.0"]]
+    score = {i: max(p["score"] for p in got[i]) for i in (4, 5, 6)}
+    votes = {i: max(p["votes"] for p in got[i]) for i in (4, 5, 6)}
+    assert score[5] == 1.0 and votes[5] > votes[4] and score[4] <= score[6] <= 1.0
+    assert [p["start"] for p in got[8]] == [3 * i + 1 for i in range(3000)]
+
+
+def test_licence_labels_by_brute_force(spark):
+    """All labels, places, votes and scores of a table, counted word by word in plain Python."""
+    import math
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    words = {r["doc_id"]: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", _fold(r["text"] or "")) for r in docs.collect()}
+    held = collections.Counter(w for ws in words.values() for w in set(ws))
+    idf = lambda w: math.log((len(words) + 1) / (held[w] + 1)) + 1
+    want = collections.defaultdict(list)
+    for t in licenses.TEMPLATES:
+        key, indexed = t.key.split(), []
+        for form in map(str.split, t.forms):
+            start = next(i for i in range(len(form)) if form[i : i + len(key)] == key)
+            chosen = sorted(range(len(form)), key=lambda i: (-idf(form[i]), i))[:16]
+            indexed.append([(form[i], i - start) for i in chosen])
+        for doc_id, ws in words.items():
+            for s in [i for i in range(len(ws)) if ws[i : i + len(key)] == key]:
+                best = (1.0, min(2, len(key)))
+                for k, form in enumerate(indexed):
+                    on = [w for w, at in form if w in ws[max(0, s + at - 4) : max(0, s + at + 5)]]
+                    one = (min(1.0, round(sum(map(idf, on)) / sum(idf(w) for w, _ in form), 6)), len(on))
+                    best = max(best, one) if k else one
+                want[doc_id].append((s, t.label, t.base, best[0], best[1]))
+    for r in licenses.scan_licenses(docs).select("doc_id", "places").collect():
+        got, expected = [tuple(p) for p in r["places"]], sorted(want[r["doc_id"]])
+        assert [(*g[:3], g[4]) for g in got] == [(*e[:3], e[4]) for e in expected]
+        assert all(abs(g[3] - e[3]) < 2e-6 for g, e in zip(got, expected))
+    assert sum(map(len, want.values())) > 5
