@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -102,3 +103,54 @@ def print_preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> None:
     df.printSchema()
     print(f"row_count={df.count()}")
     preview(df, order_by, n).show(n, truncate=False)
+
+
+_HASH = "__key_hash"
+
+
+def key_sketches(rows: DataFrame, keys: Sequence[str], by: Sequence[str] = (BUCKET,), share: float = 0.01) -> DataFrame:
+    """A sketch of the most frequent keys per bucket (or other columns): ``by``, ``n_rows``, ``sketch``.
+
+    Sketches of a bucket over several batches can be stored and given to :func:`heavy_keys` together. A
+    sketch has ``8 / share`` counters at most, whatever the number of keys, so that no key with that share is missed.
+    """
+    hashed = rows.select(*by, F.xxhash64(*keys).alias(_HASH))
+    sketch = F.expr(f"approx_top_k_accumulate({_HASH}, {_tracked(share)})")
+    return hashed.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), sketch.alias("sketch"))
+
+
+def _tracked(share: float) -> int:
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
+    return math.ceil(8 / share)
+
+
+def heavy_keys(
+    rows: DataFrame,
+    keys: Sequence[str],
+    share: float = 0.01,
+    bucket: str = BUCKET,
+    sketches: DataFrame | None = None,
+) -> DataFrame:
+    """Keys that hold at least ``share`` of the rows of their bucket: keys, bucket, ``row_count``, ``share``.
+
+    Sketches (those given, else made of ``rows``) are merged per bucket and name candidates; only rows of candidates
+    are counted, exactly. So no shuffle carries all keys: sketches and counts of candidates are made before it. The bucket must
+    follow from the key, NULL is a key like others, and the sketches must have been made of just these rows.
+    """
+    tracked = _tracked(share)
+    sketches = key_sketches(rows, keys, [bucket], share) if sketches is None else sketches
+    merged = sketches.groupBy(bucket).agg(
+        F.sum("n_rows").alias("__all"), F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("__sketch")
+    )
+    likely = merged.select(
+        F.col(bucket).alias("__bucket"), "__all",
+        F.explode(F.expr(f"approx_top_k_estimate(__sketch, {tracked})")).alias("__item"),
+    )
+    # Estimates are never too small, and too large by less than half a share: at most 2 / share candidates are left.
+    likely = likely.where(F.col("__item.count") / F.col("__all") >= share)
+    likely = likely.select("__bucket", "__all", F.col("__item.item").alias("__candidate"))
+    match = (F.xxhash64(*keys) == F.col("__candidate")) & F.col(bucket).eqNullSafe(F.col("__bucket"))
+    counted = rows.join(likely, match).groupBy(*keys, bucket, "__all").agg(F.count(F.lit(1)).alias("row_count"))
+    part = F.col("row_count") / F.col("__all")
+    return counted.where(part >= share).select(*keys, bucket, "row_count", part.alias("share"))

@@ -24,7 +24,7 @@ from tidemark.plans.fixtures import CHANGES_SQL, EVENT_CHANGES_SQL, ORDER_COLUMN
 from tidemark.plans.jobs import accept
 from tidemark.plans.options import MergeOptions
 from tidemark.session import scratch_dir
-from tidemark.sources import bucketed, ingest, state as stored
+from tidemark.sources import bucketed, ingest, state as stored, stats
 from tidemark.sources.catalog import TableDef, register_table
 from tidemark.sources.changes import read_changes, write_changes
 from tidemark.sources.state import StateTable
@@ -510,6 +510,19 @@ def _(spark, sf_dir):
     return checks.bucket_stats(with_bucket(load(spark, sf_dir, "orders"), KEY, 16, "md5"))
 
 
+@checked(
+    "bucket_heavy_keys",
+    f"""with b as (select l_suppkey, {md5_bucket('l_suppkey')} as _bucket, count(*) as row_count from lineitem group by 1, 2),
+s as (select *, row_count / cast(sum(row_count) over (partition by _bucket) as bigint) as share from b)
+select * from s where share >= 0.15""",
+)
+def _(spark, sf_dir):
+    """Suppliers that hold much of their bucket, from sketches that were made per line number."""
+    rows = with_bucket(load(spark, sf_dir, "lineitem"), ["l_suppkey"], 16, "md5")
+    sketches = checks.key_sketches(rows, ["l_suppkey"], [BUCKET, "l_linenumber"], 0.15)
+    return checks.heavy_keys(rows, ["l_suppkey"], 0.15, sketches=sketches)
+
+
 @checked(
     "touched_buckets", f"with c as ({CHANGES_SQL}) select distinct {md5_bucket('o_orderkey')} as _bucket from c"
 )
@@ -637,6 +650,16 @@ def _(spark, sf_dir):
     return stored.read_state(spark, table, "base").drop(BUCKET)
 
 
+@checked("import_resumed", "select * from customer")
+def _(spark, sf_dir):
+    """A load file by file that stops after two of them and goes on."""
+    rows = load(spark, sf_dir, "customer")
+    table, text = _new_table(spark, "import-resumed", ["c_custkey"]), _as_csv(spark, rows.repartition(5))
+    for units in (2, None):
+        ingest.import_resumable(spark, text, _def(rows, ("c_custkey",)), table, unit_bytes=1, max_units=units)
+    return stored.read_state(spark, table, "base").drop(BUCKET)
+
+
 # --- stored state ----------------------------------------------------------------------
 
 
@@ -681,6 +704,33 @@ def _(spark, sf_dir):
     return stored.read_state(spark, _logged(spark, sf_dir, "mor-base"), "base").drop(BUCKET)
 
 
+@checked(
+    "bucket_statistics",
+    f"""select {md5_bucket('o_orderkey')} as _bucket, count(*) as n_rows, count(*) as n_live, count(distinct o_orderkey) as n_keys,
+cast(0 as bigint) as n_null_keys, cast(0 as bigint) as n_duplicate_keys, max(o_orderdate) as newest
+from ({UPSERT_SQL}) as u group by 1""",
+)
+def _(spark, sf_dir):
+    """Counts kept per bucket, made before and brought up to date after a write and a fold."""
+    table = _new_table(spark, "statistics")
+    stored.create_state(spark, _state(spark, sf_dir), table)
+    stats.refresh_statistics(spark, table, "o_orderdate")
+    few = F.col("o_orderkey") < 100
+    stored.write_state(spark, table, _changes(spark, sf_dir).where(few))
+    stats.refresh_statistics(spark, table, "o_orderdate")
+    stored.append_changes(spark, table, _changes(spark, sf_dir).where(~few), 0)
+    stored.fold_log(spark, table)
+    return stats.bucket_statistics(spark, table, "o_orderdate")
+
+
+@checked("log_compacted", UPSERT_SQL)
+def _(spark, sf_dir):
+    """The older batches of the log merged into one directory."""
+    table = _logged(spark, sf_dir, "log-compacted")
+    stored.compact_log(spark, table, width=3)
+    return stored.read_state(spark, table).drop(BUCKET)
+
+
 @checked("mor_fold", UPSERT_SQL)
 def _(spark, sf_dir):
     table = _logged(spark, sf_dir, "mor-fold")

@@ -1,4 +1,10 @@
-"""Bulk load of text tables into bucketed state."""
+"""Bulk load of text tables into bucketed state.
+
+A resumable import loads the files of a folder in units, and keeps with the table which files are loaded: a
+unit's rows and its entry appear in one step (:mod:`tidemark.sources.swap`), so an import that dies has loaded each
+file wholly or not at all, and goes on where it was. The last step seals the import; until then no other import
+touches the table.
+"""
 
 from __future__ import annotations
 
@@ -21,11 +27,12 @@ from tidemark.sources.state import (
     replace_buckets,
     replace_table,
 )
+from tidemark.sources.swap import decide, delete_path, files_in, get_marker, names_in, set_marker, staging
 
-IMPORT_MODES = ("overwrite", "append", "upsert", "skip")
+IMPORT_MODES = ("overwrite", "append", "upsert", "skip", "resume")
 
 
-def scan_csv(spark: SparkSession, path: str, table: TableDef, raw: bool = False) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str | list[str], table: TableDef, raw: bool = False) -> DataFrame:
     """Header-less text under the declared schema; a malformed row fails the read.
 
     Empty fields are NULL. ``raw`` reads text and casts in a projection instead. The file
@@ -55,6 +62,7 @@ def _load(spark: SparkSession, rows: DataFrame, target: StateTable, mode: str, m
         writer = rebalance_by_bucket(rows).write.mode("append").partitionBy(BUCKET)
         if max_records_per_file > 0:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
+        delete_path(spark, target.stats_path)
         writer.parquet(target.base_path)
     else:
         replace_table(spark, target, rebalance_by_bucket(rows), max_records_per_file)
@@ -71,11 +79,18 @@ def import_table(
     """Load one text table into a state table.
 
     ``upsert`` (second and later loads) keeps, per key, the row with the greater version
-    column of the two loads; only buckets the load touches are rewritten.
+    column of the two loads; only buckets the load touches are rewritten. ``skip`` leaves a table
+    alone that is there, ``resume`` is :func:`import_resumable`. An import that was begun so and not
+    finished can only be resumed or overwritten.
     """
     if mode not in IMPORT_MODES:
         raise ValueError(f"mode must be one of {', '.join(IMPORT_MODES)}; got {mode!r}")
+    if mode == "resume":
+        import_resumable(spark, csv_path, table, target)
+        return target
     exists = is_declared(spark, target)
+    if mode != "overwrite" and exists and not is_sealed(spark, target):
+        raise ValueError(f"an import into {target.path} was not finished; mode 'resume' goes on with it")
     if mode == "skip" and exists:
         return target
     rows = with_bucket(scan_csv(spark, csv_path, table), table.keys, target.buckets, target.bucket_fn)
@@ -94,6 +109,75 @@ def import_table(
     return target
 
 
+def is_sealed(spark: SparkSession, target: StateTable) -> bool:
+    """Whether no import is unfinished; tables that were not imported in units have none."""
+    return is_declared(spark, target) and get_marker(spark, target.imports_path, {"sealed": True})["sealed"]
+
+
+def _units(files: list[tuple[str, int]], unit_bytes: int) -> list[list[tuple[str, int]]]:
+    """Files in the order of their names, as many together as fit ``unit_bytes``, or one that does not fit."""
+    units: list[list[tuple[str, int]]] = []
+    room = 0
+    for name, size in files:
+        if not units or size > room:
+            units.append([])
+            room = unit_bytes
+        units[-1].append((name, size))
+        room -= size
+    return units
+
+
+def import_resumable(
+    spark: SparkSession,
+    csv_path: str,
+    table: TableDef,
+    target: StateTable,
+    unit_bytes: int = 64 << 30,
+    max_units: int | None = None,
+) -> bool:
+    """Load a text file, or all files of a folder, each exactly once; whether the import is now finished.
+
+    Files are loaded in units of up to ``unit_bytes`` (a larger file is a unit), one Spark job each. Run again after a crash, or after
+    ``max_units`` units, it loads the files that are left. Loaded files must still be there with
+    the sizes they had, else the import is refused; files that came since are loaded too. A sealed table is left
+    alone. The driver holds names and sizes of the files and the names of a unit's output files.
+    """
+    exists = is_declared(spark, target)
+    if exists and is_sealed(spark, target):
+        return True
+    files = files_in(spark, csv_path)
+    if not files:
+        raise ValueError(f"no files at {csv_path}")
+    manifest = get_marker(spark, target.imports_path) if exists else None
+    if manifest is None:
+        manifest = {"source": csv_path, "loaded": {}, "sealed": False}
+        empty = with_bucket(scan_csv(spark, csv_path, table).limit(0), table.keys, target.buckets, target.bucket_fn)
+        empty = with_delete_flags(empty) if target.delete_mode == "soft" else empty
+        replace_table(spark, target, empty, markers={target.imports_path: manifest})
+    if manifest["source"] != csv_path:
+        raise ValueError(f"the import into {target.path} was begun from {manifest['source']}")
+    found, loaded = dict(files), manifest["loaded"]
+    if changed := sorted(name for name, size in loaded.items() if found.get(name) != size):
+        raise ValueError(f"loaded files have changed or are gone: {', '.join(changed[:5])}")
+    units = _units([f for f in files if f[0] not in loaded], unit_bytes)
+    for unit in units[:max_units]:
+        rows = scan_csv(spark, [name for name, _ in unit], table)
+        rows = with_bucket(rows, table.keys, target.buckets, target.bucket_fn)
+        if target.delete_mode == "soft":
+            rows = with_delete_flags(rows)
+        staged = staging(spark, target.base_path)
+        rebalance_by_bucket(rows).write.partitionBy(BUCKET).parquet(f"{staged}/rows")
+        folders = [f for f in names_in(spark, f"{staged}/rows") if f.startswith(f"{BUCKET}=")]
+        parts = [f"{f}/{name}" for f in folders for name in names_in(spark, f"{staged}/rows/{f}")]
+        manifest = manifest | {"loaded": manifest["loaded"] | dict(unit)}
+        moves = [(f"{staged}/rows/{part}", f"{target.base_path}/{part}") for part in parts]
+        decide(spark, target.base_path, moves, {target.imports_path: manifest}, [target.stats_path])
+    if max_units is not None and len(units) > max_units:
+        return False
+    set_marker(spark, target.imports_path, manifest | {"sealed": True})
+    return True
+
+
 def import_all(
     spark: SparkSession,
     benchmark: str,
@@ -106,7 +190,7 @@ def import_all(
 ) -> dict[str, StateTable]:
     """Load the tables of a benchmark one after the other; each load uses the whole cluster.
 
-    The default mode leaves tables alone that are already there.
+    The default mode leaves tables alone that are already there; ``resume`` goes on with one that is unfinished.
     """
     wanted = {t.strip().lower() for t in tables} if tables else None
     done = {}

@@ -3,7 +3,8 @@
 Layout under ``path``: ``base/_bucket=b/`` holds the folded state, ``log/_batch_id=n/`` one
 directory per appended batch and in it one per bucket, ``undo/_batch_id=n/`` what the keys of a
 folded batch were before it, ``folded`` the number of the last batch folded into the base, ``history``
-that of the first batch to which folds can be undone, ``schema``
+that of the first batch to which folds can be undone, ``runs`` which batches were merged into one
+directory of the log (that of the last of them), ``imports`` the input files loaded so far, ``schema``
 the declared schema of the base, so that no read has to look into data files for it. With the schema
 go the table's settings, and opening a table with others is an error: rows would be looked for in the
 wrong buckets.
@@ -42,7 +43,18 @@ from tidemark.operators.fold import fold_latest
 from tidemark.operators.merge import apply_folded, merge_changes, upsert_parts, with_delete_flags
 from tidemark.sources.catalog import missing_columns, target_schema, validate_schema
 from tidemark.sources.changes import META_FIELDS
-from tidemark.sources.swap import delete_path, finish, get_marker, numbers_in, path_exists, replace, set_marker
+from tidemark.sources.swap import (
+    decide,
+    delete_path,
+    finish,
+    get_marker,
+    names_in,
+    numbers_in,
+    path_exists,
+    replace,
+    set_marker,
+    staging,
+)
 
 
 @dataclass(frozen=True)
@@ -100,6 +112,22 @@ class StateTable:
     def streams_path(self) -> str:
         return f"{self.path.rstrip('/')}/streams"
 
+    @property
+    def runs_path(self) -> str:
+        return f"{self.path.rstrip('/')}/runs"
+
+    @property
+    def imports_path(self) -> str:
+        return f"{self.path.rstrip('/')}/imports"
+
+    @property
+    def stats_path(self) -> str:
+        return f"{self.path.rstrip('/')}/stats"
+
+    def stats_of(self, time_col: str | None) -> str:
+        """Where the counts per bucket are, with the newest value of a column."""
+        return f"{self.stats_path}/{f'by={time_col}' if time_col else 'rows'}"
+
     @property
     def null_keys(self) -> bool:
         """Whether rows without a key have a bucket."""
@@ -119,10 +147,20 @@ def create_state(spark: SparkSession, rows: DataFrame, table: StateTable) -> Sta
     return table
 
 
-def replace_table(spark: SparkSession, table: StateTable, rows: DataFrame, max_records_per_file: int = 0) -> None:
-    """Make bucketed ``rows`` all there is of the table: batches logged before do not apply to them."""
-    old = [table.log_path, table.undo_path, table.folded_path, table.history_path, table.streams_path]
-    declared = {table.schema_path: _declaration(table, rows.schema)}
+def replace_table(
+    spark: SparkSession,
+    table: StateTable,
+    rows: DataFrame,
+    max_records_per_file: int = 0,
+    markers: dict | None = None,
+) -> None:
+    """Make bucketed ``rows`` all there is of the table: batches logged before do not apply to them.
+
+    ``markers`` (folder to value) are set with them.
+    """
+    own = [table.log_path, table.undo_path, table.folded_path, table.history_path, table.streams_path]
+    old = [path for path in (*own, table.runs_path, table.imports_path, table.stats_path) if path not in (markers or {})]
+    declared = {table.schema_path: _declaration(table, rows.schema)} | (markers or {})
     replace(spark, table.base_path, rows, None, declared, old, max_records_per_file)
 
 
@@ -246,6 +284,8 @@ def read_state(
     base = _base(spark, table, buckets)
     if view == "base":
         return base
+    if as_of is not None:
+        _outside_runs(spark, table, as_of)
     if as_of is not None and as_of < folded_upto(spark, table):
         return _before_folds(spark, table, base, as_of, buckets)
     log = read_log(spark, table, as_of)
@@ -348,18 +388,21 @@ def rollback(spark: SparkSession, table: StateTable, to_batch: int) -> list[int]
     same step as the base changes, so their numbers are free again. Streams into the table must be
     stopped, and start from a new checkpoint.
     """
+    _outside_runs(spark, table, to_batch)
     if folded_upto(spark, table) < to_batch:
         fold_log(spark, table, to_batch)
+    runs = {table.runs_path: [run for run in log_runs(spark, table) if run[1] <= to_batch]}
     gone = [f"{table.log_path}/{BATCH_ID}={n}" for n in logged_batches(spark, table) if n > to_batch]
     gone += [f"{table.undo_path}/{BATCH_ID}={n}" for n in undo_batches(spark, table) if n > to_batch]
     if folded_upto(spark, table) <= to_batch:
-        for path in gone:
-            delete_path(spark, path)
+        staging(spark, table.base_path)
+        decide(spark, table.base_path, [], runs, gone)
         return []
     first = _undone(spark, table, to_batch, None)
     touched = sorted(r[0] for r in first.select(BUCKET).distinct().collect())
     rows = _before_folds(spark, table, _base(spark, table, touched), to_batch, touched)
-    replace(spark, table.base_path, rebalance_by_bucket(rows), touched, {table.folded_path: to_batch}, gone)
+    gone += _stats_about(spark, table, touched)
+    replace(spark, table.base_path, rebalance_by_bucket(rows), touched, {table.folded_path: to_batch} | runs, gone)
     return touched
 
 
@@ -376,7 +419,14 @@ def replace_buckets(
     ``placed`` rows are written from the partitions they are in; others are brought
     together by bucket first. ``markers`` change with them.
     """
-    replace(spark, table.base_path, rows if placed else rebalance_by_bucket(rows), touched, markers)
+    rows = rows if placed else rebalance_by_bucket(rows)
+    replace(spark, table.base_path, rows, touched, markers, _stats_about(spark, table, touched))
+
+
+def _stats_about(spark: SparkSession, table: StateTable, touched: Sequence[int]) -> list[str]:
+    """What has been counted about some buckets and is wrong once they change."""
+    kinds = names_in(spark, table.stats_path)
+    return [f"{table.stats_path}/{kind}/{BUCKET}={bucket}" for kind in kinds for bucket in touched]
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -450,8 +500,12 @@ def write_state(
 def append_changes(spark: SparkSession, table: StateTable, changes: DataFrame, batch_id: int) -> None:
     """Merge-on-read: log a batch. Writing the same batch again replaces it.
 
-    Columns the base does not declare are stored, but not read until it does.
+    Columns the base does not declare are stored, but not read until it does. A batch that
+    :func:`compact_log` has merged with others cannot be replaced any more.
     """
+    finish(spark, table.base_path)
+    if any(first <= batch_id <= last for first, last in log_runs(spark, table)):
+        raise ValueError(f"batch {batch_id} is merged with others and cannot be written again")
     rows = rebalance_by_bucket(table.bucketed(changes))
     # The whole batch is replaced, whatever the session's overwrite mode.
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -463,6 +517,82 @@ def next_batch_id(spark: SparkSession, table: StateTable) -> int:
     return max([folded_upto(spark, table), *logged_batches(spark, table)]) + 1
 
 
+def log_runs(spark: SparkSession, table: StateTable) -> list[list[int]]:
+    """First and last batch of every run that :func:`compact_log` has merged."""
+    return get_marker(spark, table.runs_path, [])
+
+
+def _outside_runs(spark: SparkSession, table: StateTable, batch_id: int) -> None:
+    finish(spark, table.base_path)
+    for first, last in log_runs(spark, table):
+        if first <= batch_id < last:
+            raise ValueError(f"batches {first} to {last} are merged: there is no view between them")
+
+
+def _tier(run: Sequence[Sequence[int]], width: int) -> int:
+    """How often the number of batches in a run can be divided by ``width``."""
+    size, tier = run[-1][1] - run[0][0] + 1, 0
+    while size >= width:
+        size, tier = size // width, tier + 1
+    return tier
+
+
+def tiered_runs(pieces: Sequence[Sequence[int]], width: int) -> list[list[Sequence[int]]]:
+    """Neighbouring (first, last) pieces put together: fewer than ``width`` runs of a tier, tiers falling from old to new."""
+    runs: list[list[Sequence[int]]] = []
+    for piece in pieces:
+        runs.append([piece])
+        while True:
+            tiers = [_tier(run, width) for run in runs[-width:]]
+            if len(tiers) == width and len(set(tiers)) == 1:
+                joined = width
+            elif len(tiers) > 1 and tiers[-2] < tiers[-1]:
+                joined = 2
+            else:
+                break
+            runs[-joined:] = [[piece for run in runs[-joined:] for piece in run]]
+    return runs
+
+
+def compact_log(spark: SparkSession, table: StateTable, width: int = 4, keep: int = 1) -> list[tuple[int, int]]:
+    """Merge logged batches that are not folded yet into runs by size; returns the new runs (first, last batch).
+
+    A run holds the last change per key, so a key changed in many batches is read once. It is a directory of the
+    log under its last batch's number, and runs of equal size are merged again when there are ``width`` of them: n batches
+    leave fewer than ``width`` directories for each power of ``width`` up to n, and a change is rewritten once per power. The
+    newest ``keep`` batches stay, since a stream that restarts writes its last batch again. Views and rollbacks
+    between the batches of a run are refused. All runs are written by one job and take their places in one step.
+
+    Columns that the base does not declare are kept. Changes whose operation is unknown are dropped; no view has them.
+    """
+    if width < 2 or keep < 1:
+        raise ValueError("runs are made of two or more pieces, and the newest batch stays")
+    done = folded_upto(spark, table)
+    known = log_runs(spark, table)
+    first = {last: first for first, last in known}
+    pieces = [(first.get(n, n), n) for n in logged_batches(spark, table) if n > done][:-keep]
+    runs = [run for run in tiered_runs(pieces, width) if len(run) > 1]
+    if not runs:
+        return []
+    new = [(run[0][0], run[-1][1]) for run in runs]
+    folder = {n: f"{table.log_path}/{BATCH_ID}={n}" for run in runs for _, n in run}
+    staged = staging(spark, table.base_path)
+    if filled := [path for path in folder.values() if any("=" in name for name in names_in(spark, path))]:
+        log = spark.read.option("basePath", table.log_path).option("mergeSchema", True).parquet(*filled)
+        ends = [F.when(F.col(BATCH_ID) <= last, last) for _, last in new]
+        log = log.where(F.col(OP).isin(*OPS)).withColumn(BATCH_ID, F.coalesce(*ends))
+        latest = fold_latest(log, [*table.keys, BATCH_ID], table.order_by)
+        rebalance_by_bucket(latest).write.partitionBy(BATCH_ID, BUCKET).parquet(f"{staged}/log")
+    moves = [(f"{staged}/log/{BATCH_ID}={last}", folder[last]) for _, last in new]
+    ends = {last for _, last in new}
+    gone = [path for n, path in folder.items() if n not in ends]
+    # Runs before the oldest view that folds can be undone to are of no use to anyone.
+    oldest = get_marker(spark, table.history_path, done) if table.undo else done
+    rest = [r for r in known if r[1] not in folder and r[1] > oldest]
+    decide(spark, table.base_path, moves, {table.runs_path: sorted([*rest, *map(list, new)])}, gone)
+    return new
+
+
 def stream_offset(spark: SparkSession, table: StateTable, stream_id: str) -> int:
     """What a stream adds to its own batch numbers, fixed the first time it writes here.
 
@@ -497,7 +627,7 @@ def fold_log(
 ) -> int:
     """Apply logged batches up to ``upto`` to the base; returns the last batch folded.
 
-    The number changes together with the base. With the table's ``undo``, what the batches replace is
+    An ``upto`` between the batches of a run folds up to the run before it. The number changes together with the base. With the table's ``undo``, what the batches replace is
     written first, again by a fold that runs again. :func:`expire_log` then removes the folded batches.
     """
     done = folded_upto(spark, table)

@@ -45,6 +45,15 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(target)) if files.exists(target) else []
 
 
+def files_in(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Path and size of a file, or of the data files right in a folder, by name."""
+    files, target = _at(spark, path)
+    if not files.exists(target):
+        return []
+    found = [(s.getPath(), s.getLen()) for s in files.listStatus(target) if s.isFile()]
+    return sorted((p.toString(), size) for p, size in found if not p.getName().startswith(("_", ".")))
+
+
 def numbers_in(spark: SparkSession, path: str, column: str) -> list[int]:
     """Values of the partition directories ``column=number`` in a folder."""
     split = [name.partition("=") for name in names_in(spark, path)]
@@ -130,6 +139,26 @@ def replace(
     finish(spark, base)
 
 
+def staging(spark: SparkSession, base: str) -> str:
+    """An empty folder to write in what :func:`decide` is to put in place."""
+    finish(spark, base)
+    delete_path(spark, _staged(base))
+    return _staged(base)
+
+
+def decide(
+    spark: SparkSession,
+    base: str,
+    moves: Sequence[Sequence[str]],
+    markers: dict | None = None,
+    delete: Sequence[str] = (),
+) -> None:
+    """Move files or folders from the staging folder to their places, whatever was there, set markers and delete paths, in one step."""
+    plan = {"whole": False, "filled": [], "emptied": [], "moves": [list(m) for m in moves]}
+    _write_json(spark, f"{_staged(base)}/plan.json", plan | {"markers": markers or {}, "delete": list(delete)})
+    finish(spark, base)
+
+
 def finish(spark: SparkSession, base: str) -> None:
     """Do what is left of a decided change; without one, nothing."""
     staged = _staged(base)
@@ -147,6 +176,10 @@ def finish(spark: SparkSession, base: str) -> None:
                 _move(spark, source, f"{base}/{BUCKET}={bucket}")
         for bucket in plan["emptied"]:
             delete_path(spark, f"{base}/{BUCKET}={bucket}")
+    for source, target in plan.get("moves", ()):
+        if path_exists(spark, source):  # else it was moved before
+            delete_path(spark, target)
+            _move(spark, source, target)
     for folder, value in plan["markers"].items():
         set_marker(spark, folder, value)
     for path in plan["delete"]:
