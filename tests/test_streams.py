@@ -78,6 +78,51 @@ def test_stream_resumes_and_replays(spark, folder, sink):
     assert go() == [(1, "z"), (3, "c")]
 
 
+def test_late_change_after_a_hard_delete(spark, folder):
+    table, log = StateTable(f"{folder}/t", ("k",), 4), f"{folder}/log"
+
+    def go(checkpoint="cp", *items):
+        if items:
+            write_changes(changes(spark, *items), log, ["k"], 4)
+        run.run_changes(spark, log, BUSINESS, table, options(
+            folder, sink="cow", late_seconds=3600, checkpoint=f"{folder}/{checkpoint}"
+        )).awaitTermination()
+        return rows(state.read_state(spark, table), "k", "v")
+
+    first = [(1, "a", "INSERT", 2), (2, "b", "INSERT", 2), (3, "c", "INSERT", None), (4, None, "INSERT", 2**60 + 1)]
+    assert go("cp", *first) == [(1, "a"), (2, "b"), (3, "c"), (4, None)]
+    assert go("cp", (1, "a", "DELETE", 5), (9, None, "DELETE", 5), (3, "d", "UPDATE", 1)) == [
+        (2, "b"), (3, "d"), (4, None),
+    ]
+    # Older changes: of a deleted key, of one deleted before it was inserted, of one replaced, by one in 2 ** 60, without order.
+    late = [(1, "z", "UPDATE", 4), (9, "z", "INSERT", 4), (2, "z", "UPDATE", 1), (4, "z", "UPDATE", 2**60), (3, "z", "UPDATE", None)]
+    assert go("cp", *late) == [(2, "b"), (3, "d"), (4, None)]
+    # Other operations neither count nor stand in the way; a newer change brings the key back.
+    assert go("cp", (2, "x", "TRUNCATE", 9), (1, "n", "INSERT", 6)) == [(1, "n"), (2, "b"), (3, "d"), (4, None)]
+    assert go("cp", (2, "y", "UPDATE", 8)) == [(1, "n"), (2, "y"), (3, "d"), (4, None)]
+    assert go("new") == [(1, "n"), (2, "y"), (3, "d"), (4, None)]
+    for other, more in ((StateTable(f"{folder}/o", ("k",), 4), {"sink": "mor"}), (
+        StateTable(f"{folder}/o", ("k",), 4, delete_mode="soft", guard_col="_total_order"), {"sink": "cow"},
+    )):
+        with pytest.raises(ValueError, match="late_seconds"):
+            run.run_changes(spark, log, BUSINESS, other, options(folder, late_seconds=5, **more))
+    with pytest.raises(ValueError, match="positive"):
+        options(folder, sink="cow", late_seconds=0)
+
+
+def test_what_is_remembered_of_late_changes_ends(spark, folder):
+    table, log = StateTable(f"{folder}/t", ("k",), 4), f"{folder}/log"
+    how = options(folder, sink="cow", late_seconds=1)
+    for number in range(3):
+        write_changes(changes(spark, (number, "a", "INSERT", 2)), log, ["k"], 4)
+        query = run.run_changes(spark, log, BUSINESS, table, how)
+        query.awaitTermination()
+        time.sleep(4)
+    # Two windows of the last key at most, and those of the key before that no batch has taken away yet.
+    assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 4
+    assert rows(state.read_state(spark, table), "k") == [(0,), (1,), (2,)]
+
+
 def test_processing_time_trigger(spark, folder):
     table, log = StateTable(f"{folder}/t", ("k",), 4), f"{folder}/log"
     write_changes(changes(spark, (1, "a", "INSERT", 1)), log, ["k"], 4)

@@ -21,6 +21,13 @@ def _orderable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
+def ranking(changes: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> list[str]:
+    """The columns that put the changes of a key in order: ``order_by``, then the others by name."""
+    used = {c.lower() for c in (*keys, *order_by)}
+    ties = sorted(f.name for f in changes.schema.fields if f.name.lower() not in used and _orderable(f.dataType))
+    return [*order_by, *ties]
+
+
 def fold_latest(
     changes: DataFrame,
     keys: Sequence[str],
@@ -33,9 +40,8 @@ def fold_latest(
     re-run picks the same row. The rank filter becomes a group limit that runs before the
     shuffle too: at most one row per key and map task is exchanged, however hot the key.
     """
-    used = {c.lower() for c in (*keys, *order_by)}
-    ties = sorted(f.name for f in changes.schema.fields if f.name.lower() not in used and _orderable(f.dataType))
-    ranked = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in (*order_by, *ties)]
+    order = ranking(changes, keys, order_by)
+    ranked = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in order]
     window = Window.partitionBy(*keys).orderBy(*ranked)
     return changes.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) == 1).drop(_RANK)
 

@@ -17,6 +17,7 @@ from tidemark.plans.jobs import merge_once
 from tidemark.plans.options import MergeOptions
 from tidemark.sources.changes import read_changes
 from tidemark.sources.state import StateTable, ensure_state, read_state, replace_buckets, stream_offset
+from tidemark.streaming.late import latest_seen
 
 
 def run_changes(
@@ -32,12 +33,20 @@ def run_changes(
     The merge-on-read sink is safe to replay and immune to batches that arrive out of
     order. File batches do not follow the order of changes, so a copy-on-write table must keep
     what it needs to tell an older change: a ``guard_col``, and soft deletes, whose tombstones
-    keep the deleted keys' guards. A stream applies upserts only: phases are not safe to replay.
+    keep the deleted keys' guards. With hard deletes, ``late_seconds`` says how long the stream itself remembers
+    the last change of every key (:mod:`tidemark.streaming.late`); an older change that comes later than that is
+    applied. After the loss of the checkpoint the whole log has to be read again, which ends in the same rows.
+    A stream applies upserts only: phases are not safe to replay.
     """
     if options.semantics != "upsert":
         raise ValueError("a stream can be replayed only with semantics='upsert'")
-    if options.sink == "cow" and (table.guard_col is None or table.delete_mode != "soft"):
-        raise ValueError("a stream into a copy-on-write table needs guard_col and delete_mode='soft'")
+    late = options.late_seconds is not None
+    if late and (options.sink != "cow" or table.delete_mode != "hard"):
+        raise ValueError("late_seconds is for copy-on-write tables with delete_mode='hard'")
+    if options.sink == "cow" and not late and (table.guard_col is None or table.delete_mode != "soft"):
+        raise ValueError(
+            "a stream into a copy-on-write table needs guard_col and delete_mode='soft', or late_seconds and 'hard'"
+        )
     changes = read_changes(
         spark,
         log_path,
@@ -47,7 +56,9 @@ def run_changes(
         max_files_per_trigger=options.max_files_per_trigger,
         max_bytes_per_trigger=options.max_bytes_per_trigger,
     )
-    writer = changes.writeStream.outputMode("append").option("checkpointLocation", options.checkpoint)
+    if late:
+        changes = latest_seen(changes, table.keys, options.late_seconds, table.order_by)
+    writer = changes.writeStream.outputMode("update" if late else "append").option("checkpointLocation", options.checkpoint)
     writer = writer.trigger(**options.trigger_arguments())
     if name:
         writer = writer.queryName(name)
