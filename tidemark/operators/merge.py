@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -251,6 +251,47 @@ class Parts(NamedTuple):
     added: DataFrame
 
 
+def observed(counts: Observation) -> dict[str, int]:
+    """The counts of a finished action; none of a part that was found empty and left out of the plan."""
+    # ``Observation.get`` fails without counts.
+    return dict(counts._jo.getAsJava())
+
+
+class MergeCounts:
+    """What an upsert does to the state, counted while the result of :func:`upsert_parts` is written.
+
+    The counts are Spark's observed metrics: no other job and no other join. They are there after the one
+    action on the parts. A stage that is run again after the loss of its output counts its rows again.
+    """
+
+    def __init__(self) -> None:
+        self._hits, self._added = Observation(), Observation()
+
+    def hits(self, joined: DataFrame) -> DataFrame:
+        """The state joined with the batch, with the rows that will be replaced or deleted counted."""
+        deletes = _c("s", OP) == DELETE
+        hit = _c("s", _HIT).isNotNull()
+        return joined.observe(
+            self._hits,
+            F.count_if(hit & ~deletes).alias("updated_rows"),
+            F.count_if(hit & deletes).alias("deleted_rows"),
+        )
+
+    def added(self, rows: DataFrame) -> DataFrame:
+        """The new images, counted."""
+        return rows.observe(self._added, F.count(F.lit(1)).alias("live_rows"))
+
+    def result(self) -> dict[str, int]:
+        """Rows updated, deleted (or flagged) and inserted."""
+        hits, added = observed(self._hits), observed(self._added)
+        updated = hits.get("updated_rows", 0)
+        return {
+            "updated_rows": updated,
+            "deleted_rows": hits.get("deleted_rows", 0),
+            "inserted_rows": added.get("live_rows", 0) - updated,
+        }
+
+
 def upsert_parts(
     state: DataFrame,
     changes: DataFrame,
@@ -260,11 +301,13 @@ def upsert_parts(
     deleted_at: Column | None = None,
     null_safe: bool = True,
     small: bool = False,
+    counts: MergeCounts | None = None,
 ) -> Parts:
     """Upsert of a folded batch in two parts, for a writer that treats them differently.
 
     ``small`` says that the caller has measured the batch's keys and they may be broadcast;
-    the kept rows then stay in the partitions the state was read in.
+    the kept rows then stay in the partitions the state was read in. ``counts`` are taken when
+    the parts are written, which must be done by one action.
     """
     if delete_mode == "soft":
         state = with_delete_flags(state)
@@ -273,21 +316,27 @@ def upsert_parts(
     if delete_mode == "ignore":
         changes = changes.where(F.col(OP) != DELETE)
     added = align_to_target(changes.where(F.col(OP) != DELETE), state.schema)
+    if counts is not None:
+        added = counts.added(added)
     keep_guard = delete_mode == "soft" and guard_col is not None and _has(state, guard_col)
     decisive = _narrow(changes, keys, OP, *([guard_col] if keep_guard else []))
     if small:
         decisive = F.broadcast(decisive)
     if delete_mode != "soft":
         # Hard deletes and replaced rows leave the state the same way.
+        if counts is not None:
+            joined = counts.hits(_left_join(state, decisive, keys, null_safe))
+            return Parts(joined.where(_c("s", _HIT).isNull()).select("t.*"), added)
         match = key_condition(keys, null_safe=null_safe)
         return Parts(state.alias("t").join(decisive.alias("s"), match, "left_anti").select("t.*"), added)
 
     deleted = _c("s", OP) == DELETE
     replaced = {guard_col: _c("s", guard_col)} if keep_guard else None
-    kept = (
-        _left_join(state, decisive, keys, null_safe)
-        .where(_c("s", _HIT).isNull() | deleted)
-        .select(*_flagged(state, F.coalesce(deleted, F.lit(False)), deleted_at, replaced))
+    joined = _left_join(state, decisive, keys, null_safe)
+    if counts is not None:
+        joined = counts.hits(joined)
+    kept = joined.where(_c("s", _HIT).isNull() | deleted).select(
+        *_flagged(state, F.coalesce(deleted, F.lit(False)), deleted_at, replaced)
     )
     if keep_guard:
         # A delete that arrives before its insert must still outrank it later.

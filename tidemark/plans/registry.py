@@ -679,6 +679,27 @@ def _(spark, sf_dir):
     return _time_as_text(stored.read_state(spark, table, "base").drop(BUCKET))
 
 
+@checked(
+    "batch_report",
+    f"""{WITH}
+select cast(0 as bigint) as batch_id, count(*) as changed_keys,
+       count(*) filter (where _op <> 'DELETE' and o_orderkey in (select o_orderkey from s)) as updated_rows,
+       count(*) filter (where _op = 'DELETE' and o_orderkey in (select o_orderkey from s)) as deleted_rows,
+       count(*) filter (where _op <> 'DELETE' and o_orderkey not in (select o_orderkey from s)) as inserted_rows
+from f
+union all
+select 1, count(*), count(*) filter (where _op <> 'DELETE'), 0, 0 from f""",
+)
+def _(spark, sf_dir):
+    """All changes as a batch, once more as the same batch, which does nothing, and as the next one."""
+    table = _new_table(spark, "reported")
+    stored.create_state(spark, _state(spark, sf_dir), table)
+    for batch_id in (0, 0, 1):
+        stored.write_state(spark, table, _changes(spark, sf_dir), report=("job", batch_id))
+    report = stored.batch_report(spark, table)
+    return report.select("batch_id", "changed_keys", "updated_rows", "deleted_rows", "inserted_rows")
+
+
 def _batches(spark, sf_dir) -> list[DataFrame]:
     """The changes of orders in four batches, cut across the order of changes."""
     changes, lines = _changes(spark, sf_dir), F.col(COLLECTION_ORDER)

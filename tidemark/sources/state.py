@@ -4,8 +4,8 @@ Layout under ``path``: ``base/_bucket=b/`` holds the folded state, ``log/_batch_
 directory per appended batch and in it one per bucket, ``undo/_batch_id=n/`` what the keys of a
 folded batch were before it, ``folded`` the number of the last batch folded into the base, ``history``
 that of the first batch to which folds can be undone, ``runs`` which batches were merged into one
-directory of the log (that of the last of them), ``imports`` the input files loaded so far, ``schema``
-the declared schema of the base, so that no read has to look into data files for it. With the schema
+directory of the log (that of the last of them), ``imports`` the input files loaded so far, ``batches``
+a small file per reported batch, ``schema`` the declared schema of the base, so that no read has to look into data files for it. With the schema
 go the table's settings, and opening a table with others is an error: rows would be looked for in the
 wrong buckets.
 
@@ -17,11 +17,13 @@ its own log directory.
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +42,7 @@ from tidemark.names import (
 )
 from tidemark.operators import layout
 from tidemark.operators.fold import fold_latest
-from tidemark.operators.merge import apply_folded, merge_changes, upsert_parts, with_delete_flags
+from tidemark.operators.merge import MergeCounts, apply_folded, merge_changes, observed, upsert_parts, with_delete_flags
 from tidemark.sources.catalog import missing_columns, target_schema, validate_schema
 from tidemark.sources.changes import META_FIELDS
 from tidemark.sources.swap import (
@@ -120,6 +122,10 @@ class StateTable:
     def imports_path(self) -> str:
         return f"{self.path.rstrip('/')}/imports"
 
+    @property
+    def batches_path(self) -> str:
+        return f"{self.path.rstrip('/')}/batches"
+
     @property
     def stats_path(self) -> str:
         return f"{self.path.rstrip('/')}/stats"
@@ -159,7 +165,7 @@ def replace_table(
     ``markers`` (folder to value) are set with them.
     """
     own = [table.log_path, table.undo_path, table.folded_path, table.history_path, table.streams_path]
-    old = [path for path in (*own, table.runs_path, table.imports_path, table.stats_path) if path not in (markers or {})]
+    old = [path for path in (*own, table.runs_path, table.imports_path, table.batches_path, table.stats_path) if path not in (markers or {})]
     declared = {table.schema_path: _declaration(table, rows.schema)} | (markers or {})
     replace(spark, table.base_path, rows, None, declared, old, max_records_per_file)
 
@@ -453,24 +459,44 @@ def write_state(
     semantics: str = "upsert",
     insert_mode: str = "append",
     markers: dict | None = None,
+    report: tuple[str, int] | None = None,
 ) -> list[int]:
     """Copy-on-write: apply flat changes to the base, rewriting only the buckets they touch.
 
     Phased semantics with appended inserts double rows when a batch is applied again. ``markers``
     (folder to value) are set together with the change.
 
+    ``report`` names a run and a batch of it. What the batch did is then stored together with the change, as
+    a row of :func:`batch_report`; a batch that has such a row is applied already, and is not applied again.
+
     Returns those buckets. The folded batch is kept while it is used more than once, and
     measured: if its keys fit a broadcast, the state is neither shuffled to be joined nor to
     be written, and only the new rows move. The driver sees one row per bucket.
     """
+    counts = None
+    if report is not None:
+        if semantics != "upsert":
+            raise ValueError("only upserts are reported")
+        finish(spark, table.base_path)
+        if is_reported(spark, table, *report):
+            return []
+        counts, started = MergeCounts(), time.time()
     changes = table.bucketed(changes).where(F.col(OP).isin(*OPS))
     folded = fold_latest(changes, table.keys, table.order_by).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sizes = folded.groupBy(BUCKET).agg(F.sum(_key_size(folded, table.keys))).collect()
-        touched = sorted(bucket for bucket, _ in sizes)
+        sizes = folded.groupBy(BUCKET).agg(F.sum(_key_size(folded, table.keys)), F.count(F.lit(1))).collect()
+        touched = sorted(bucket for bucket, _, _ in sizes)
+        if report is not None:
+            keys = sum(n for _, _, n in sizes)
+
+            def row() -> dict:
+                done = counts.result() if touched else dict.fromkeys(_COUNTED, 0)
+                return _report_row(*report, started, changed_keys=keys, touched_buckets=len(touched), **done)
+
+            markers = {**(markers or {}), _report_path(table, *report): row}
         if not touched:
             for folder, value in (markers or {}).items():
-                set_marker(spark, folder, value)
+                set_marker(spark, folder, value() if callable(value) else value)
             return []
         if semantics != "upsert":
             base = _base(spark, table, touched)
@@ -479,7 +505,7 @@ def write_state(
             )
             replace_buckets(spark, table, merged, touched, markers=markers)
             return touched
-        small = sum(size for _, size in sizes) <= broadcast_limit(spark)
+        small = sum(size for _, size, _ in sizes) <= broadcast_limit(spark)
         kept, added = upsert_parts(
             _base(spark, table, touched),
             folded,
@@ -489,6 +515,7 @@ def write_state(
             deleted_at=deleted_at,
             null_safe=table.null_keys,
             small=small,
+            counts=counts,
         )
         merged = kept.unionByName(rebalance_by_bucket(added) if small else added)
         replace_buckets(spark, table, merged, touched, placed=small, markers=markers)
@@ -497,8 +524,50 @@ def write_state(
         folded.unpersist()
 
 
-def append_changes(spark: SparkSession, table: StateTable, changes: DataFrame, batch_id: int) -> None:
-    """Merge-on-read: log a batch. Writing the same batch again replaces it.
+_COUNTED = ("updated_rows", "deleted_rows", "inserted_rows")
+REPORT_SCHEMA = (
+    "run string, batch_id bigint, finished timestamp, duration_ms bigint, changes bigint, changed_keys bigint,"
+    " touched_buckets bigint, updated_rows bigint, deleted_rows bigint, inserted_rows bigint"
+)
+
+
+def _report_path(table: StateTable, run: str, batch_id: int) -> str:
+    return f"{table.batches_path}/{run}/{int(batch_id)}"
+
+
+def _report_row(run: str, batch_id: int, started: float, **counts: int) -> dict:
+    now = datetime.fromtimestamp(time.time(), timezone.utc)
+    took = int((time.time() - started) * 1000)
+    return {"run": run, "batch_id": int(batch_id), "finished": now.isoformat(), "duration_ms": took, **counts}
+
+
+def is_reported(spark: SparkSession, table: StateTable, run: str, batch_id: int) -> bool:
+    """Whether a batch of a run has been stored and reported."""
+    return any(name.endswith(".json") for name in names_in(spark, _report_path(table, run, batch_id)))
+
+
+def batch_report(spark: SparkSession, table: StateTable) -> DataFrame:
+    """One row for every reported batch: of which run, when, how long, and what it did.
+
+    Copy-on-write batches have the keys they change, the buckets, and the rows updated, deleted (flagged,
+    in soft mode) and inserted; changes that a guard drops are in none of these. Logged batches have
+    ``changes``, the rows logged. What a sink cannot know is NULL. The rows are files of the table: they
+    outlive the session, and any number of them is read by tasks.
+    """
+    finish(spark, table.base_path)
+    if not names_in(spark, table.batches_path):
+        return spark.createDataFrame([], REPORT_SCHEMA)
+    return spark.read.schema(REPORT_SCHEMA).option("recursiveFileLookup", "true").json(table.batches_path)
+
+
+def append_changes(
+    spark: SparkSession,
+    table: StateTable,
+    changes: DataFrame,
+    batch_id: int,
+    report: tuple[str, int] | None = None,
+) -> None:
+    """Merge-on-read: log a batch. Writing the same batch again replaces it, and its row of ``report``.
 
     Columns the base does not declare are stored, but not read until it does. A batch that
     :func:`compact_log` has merged with others cannot be replaced any more.
@@ -506,10 +575,14 @@ def append_changes(spark: SparkSession, table: StateTable, changes: DataFrame, b
     finish(spark, table.base_path)
     if any(first <= batch_id <= last for first, last in log_runs(spark, table)):
         raise ValueError(f"batch {batch_id} is merged with others and cannot be written again")
-    rows = rebalance_by_bucket(table.bucketed(changes))
+    rows, logged, started = rebalance_by_bucket(table.bucketed(changes)), Observation(), time.time()
+    if report is not None:
+        rows = rows.observe(logged, F.count(F.lit(1)).alias("changes"))
     # The whole batch is replaced, whatever the session's overwrite mode.
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(BUCKET).parquet(f"{table.log_path}/{BATCH_ID}={int(batch_id)}")
+    if report is not None:
+        set_marker(spark, _report_path(table, *report), _report_row(*report, started, changes=observed(logged).get("changes", 0)))
 
 
 def next_batch_id(spark: SparkSession, table: StateTable) -> int:

@@ -118,7 +118,8 @@ def replace(
     """Make ``rows`` the whole content of some buckets (those the rows have, if None is given, are all there are).
 
     With ``buckets``, other buckets stay as they are and a listed one without rows becomes empty. Markers
-    (folder to value) are set and paths are deleted in the same step.
+    (folder to value, or to a function that gives it once the rows are written) are set and paths are
+    deleted in the same step.
     """
     finish(spark, base)
     staged = _staged(base)
@@ -132,7 +133,7 @@ def replace(
         "whole": buckets is None,
         "filled": filled,
         "emptied": sorted(set(buckets or ()) - set(filled)),
-        "markers": markers or {},
+        "markers": {folder: value() if callable(value) else value for folder, value in (markers or {}).items()},
         "delete": list(delete),
     }
     _write_json(spark, f"{staged}/plan.json", plan)

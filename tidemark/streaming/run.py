@@ -71,10 +71,12 @@ def run_changes(
         # No look at the batch before the merge: every sink reads it once, and an empty one
         # changes nothing (copy-on-write finds no touched bucket, the log gets no row).
         session, number = batch.sparkSession, batch_id
+        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         if options.sink == "mor":
             ensure_state(session, table, batch, options.auto_create, options.evolve)
-            number += stream_offset(session, table, session.sparkContext.getLocalProperty("sql.streaming.queryId"))
-        merge_once(session, batch, table, options, number)
+            number += stream_offset(session, table, query_id)
+        report = (query_id, batch_id) if options.report and options.sink in ("cow", "mor") else None
+        merge_once(session, batch, table, options, number, report=report)
 
     return writer.foreachBatch(apply).start()
 
