@@ -197,6 +197,42 @@ def test_other_sinks_and_progress(spark, folder):
     assert not state.path_exists(spark, table.base_path)
 
 
+def test_batches_limited_by_rows(spark, folder):
+    log, table = f"{folder}/log", StateTable(f"{folder}/t", ("k",), 4)
+    many = [(k, "v", "INSERT", k) for k in range(90)]
+    write_changes(changes(spark, *many[:50]), log, ["k"], 4, max_rows_per_file=5)
+    write_changes(changes(spark, *many[50:]), log, ["k"], 4)  # the log's limit holds for every write
+    per_file = read_changes(spark, log, BUSINESS).groupBy(F.input_file_name()).count()
+    assert per_file.agg(F.max("count")).first()[0] == 5
+    how = options(folder, max_rows_per_trigger=17, report=True)
+    run.run_changes(spark, log, BUSINESS, table, how).awaitTermination()
+    first = rows(state.batch_report(spark, table), "batch_id", "changes")
+    assert sum(n for _, n in first) == 90 and max(n for _, n in first) <= 15
+    assert state.read_state(spark, table).count() == 90
+    # A batch that is told again reads the same files; the others follow in the same cut.
+    again = StateTable(f"{folder}/u", ("k",), 4)
+    run.run_changes(spark, log, BUSINESS, again, options(
+        folder, target=again.path, checkpoint=f"{folder}/cp2", max_rows_per_trigger=17, report=True
+    )).awaitTermination()
+    assert rows(state.batch_report(spark, again), "batch_id", "changes") == first
+    with pytest.raises(ValueError, match="at least one file"):
+        read_changes(spark, log, BUSINESS, stream=True, max_rows_per_trigger=4)
+    with pytest.raises(ValueError, match="not 9"):
+        write_changes(changes(spark, *many[:1]), log, ["k"], 4, max_rows_per_file=9)
+    plain = f"{folder}/plain"
+    write_changes(changes(spark, *many), plain, ["k"], 4)
+    with pytest.raises(ValueError, match="does not declare"):
+        read_changes(spark, plain, BUSINESS, stream=True, max_rows_per_trigger=100)
+    with pytest.raises(ValueError, match="declared"):
+        write_changes(changes(spark, *many[:1]), plain, ["k"], 4, max_rows_per_file=9)
+    with pytest.raises(ValueError, match="positive"):
+        write_changes(changes(spark, *many[:1]), f"{folder}/none", ["k"], 4, max_rows_per_file=0)
+    write_changes(changes(spark, *many), plain, ["k"], 4, mode="overwrite", max_rows_per_file=9)
+    assert read_changes(spark, plain, BUSINESS, stream=True, max_rows_per_trigger=9).isStreaming
+    with pytest.raises(ValueError, match="both"):
+        options(folder, max_rows_per_trigger=9, max_bytes_per_trigger="1m")
+
+
 def test_several_tables_in_one_session(spark, folder):
     jobs, tables = {}, {}
     for name in ("first", "second"):

@@ -1153,6 +1153,29 @@ def _(spark, sf_dir):
     return frame.agg(F.sum("input_rows").alias("input_rows"), complete.alias("batches_complete"))
 
 
+@checked(
+    "stream_row_limit",
+    f"""with c as ({CHANGES_SQL})
+select count(*) as logged_rows, true as within_limit, true as several_batches from c""",
+)
+def _(spark, sf_dir):
+    """No batch has more rows than its limit, by the report of the batches that the table keeps."""
+    log, table = scratch_dir(spark, "log"), _new_table(spark, "row-limit")
+    state, limit = _state(spark, sf_dir), 32_000
+    write_changes(_changes(spark, sf_dir), log, KEY, 16, "md5", max_rows_per_file=4_000)
+    options = MergeOptions(
+        target=table.path, checkpoint=scratch_dir(spark, "checkpoint"), trigger="available-now",
+        max_rows_per_trigger=limit, report=True,
+    )
+    streams.run_changes(spark, log, state.schema, table, options).awaitTermination()
+    rows = F.sum("changes")
+    return stored.batch_report(spark, table).agg(
+        rows.alias("logged_rows"),
+        (F.max("changes") <= limit).alias("within_limit"),
+        (F.count(F.lit(1)) >= F.ceil(rows / limit)).alias("several_batches"),
+    )
+
+
 @checked("read_change_log", f"with c as ({CHANGES_SQL}) select _op, count(*) as row_count from c group by 1")
 def _(spark, sf_dir):
     log = scratch_dir(spark, "log")

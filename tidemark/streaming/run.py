@@ -55,6 +55,7 @@ def run_changes(
         buckets=options.buckets,
         max_files_per_trigger=options.max_files_per_trigger,
         max_bytes_per_trigger=options.max_bytes_per_trigger,
+        max_rows_per_trigger=options.max_rows_per_trigger,
     )
     if late:
         changes = latest_seen(changes, table.keys, options.late_seconds, table.order_by)
