@@ -207,7 +207,8 @@ def train(
     sample = rows.where(F.col("__draw") < share)
     aside = F.pmod(F.xxhash64("__draw", "__text"), F.lit(10)) == 0
     learn = sample.where(~aside).repartition(WORKERS, F.xxhash64("__text", "__draw"))
-    learn = learn.select("__text", "__lang").coalesce(WORKERS)
+    # Learning depends on the order of texts, which a shuffle leaves open.
+    learn = learn.sortWithinPartitions("__draw", "__text", "__lang").select("__text", "__lang").coalesce(WORKERS)
     z, n = np.zeros(shape), np.zeros(shape)
     for _ in range(rounds):
         passes = learn.mapInArrow(_pass(z, n, idf, languages, alpha, l1, l2), "seen long, z binary, n binary")
@@ -224,6 +225,7 @@ def train(
     tests = tests.mapInArrow(_logits(idf, weights, languages), "y long, logits array<double>").collect()
     temperature = 1.0
     if tests:
+        tests.sort(key=lambda t: (t["y"], t["logits"]))
         temperature = fit_temperature(np.array([t["logits"] for t in tests]), np.array([t["y"] for t in tests]))
     return Model(languages, idf, weights, temperature)
 
