@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import stored
+from tidemark.operators.fold import ranking
 
 #: Slots of a period, at least; more when there are many sources.
 PERIOD = 1024
@@ -111,15 +112,16 @@ def mix_sources(
 ) -> DataFrame:
     """Place every document in a sequence that keeps the sources' target weights.
 
-    Within a source, documents are in hash order of their id (ties by id), cut into blocks of
-    ``block_rows``; the last block may be shorter. ``weights`` gives each source's share; without
+    Within a source, documents are in hash order of their id (ties by id), those without an id in that
+    of all their other columns, cut into blocks of ``block_rows``; the last block may be shorter. ``weights`` gives each source's share; without
     it, shares follow the source's size to the ``power``. Weights must be positive and name
     every source. Adds ``block`` (from 0 in its source), ``release``, ``deadline`` (of the block,
     as slots), ``slot`` (no slot is empty) and ``place`` (in the block) to the columns of ``docs``;
     columns of these names are replaced. Nothing is dropped or repeated.
 
     Documents without a source form a source of their own, named by null (in ``weights``: ""). Rows
-    that are equal in id are ordered anyhow. An empty table gives no rows.
+    that are equal in id, or have none and are equal in all columns, are ordered anyhow. An empty table
+    gives no rows.
 
     The driver sees one count per source, and works on one period per source that runs out: with
     ``n`` sources of different length, about ``16 * n ** 2`` slots. Sources are meant to be a list
@@ -137,7 +139,8 @@ def mix_sources(
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
     phases = plan_phases(blocks, weights)
 
-    hashed = F.xxhash64(F.col(id_col))
+    others = [F.col(c) for c in ranking(docs, [id_col], [])]
+    hashed = F.when(F.col(id_col).isNull(), F.xxhash64(*others)).otherwise(F.xxhash64(F.col(id_col)))
     spark = docs.sparkSession
     sizes = spark.createDataFrame(
         [(s, max(1, -(-n // RUN_ROWS))) for s, n in counts.items()], "__source string, __runs int"
