@@ -324,3 +324,17 @@ def test_streams_refuse_what_replay_would_break(spark, folder):
     for how in ({"sink": "cow"}, {"sink": "cow", "semantics": "phased"}):
         with pytest.raises(ValueError):
             run.run_changes(spark, f"{folder}/log", BUSINESS, plain, options(folder, **how))
+
+
+def test_limited_batches_are_logged_without_a_shuffle(spark, folder, monkeypatch):
+    log, table = f"{folder}/log", StateTable(f"{folder}/t", ("k",), 4)
+    write_changes(changes(spark, *[(k, "v", "INSERT", k) for k in range(40)]), log, ["k"], 4, max_rows_per_file=5)
+    looked, moved, ensure, rebalance = [], [], run.ensure_state, state.rebalance_by_bucket
+    monkeypatch.setattr(run, "ensure_state", lambda *a: looked.append(a) or ensure(*a))
+    monkeypatch.setattr(state, "ensure_state", lambda *a: looked.append(a) or ensure(*a))
+    monkeypatch.setattr(state, "rebalance_by_bucket", lambda df: moved.append(df) or rebalance(df))
+    how = options(folder, max_rows_per_trigger=10, report=True)
+    run.run_changes(spark, log, BUSINESS, table, how).awaitTermination()
+    assert state.batch_report(spark, table).count() >= 4
+    assert len(looked) == 1 and moved == []  # the table is made ready once, not for each batch
+    assert rows(state.read_state(spark, table), "k") == [(k,) for k in sorted(range(40), key=str)]
