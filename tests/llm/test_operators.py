@@ -507,3 +507,25 @@ def test_licence_labels_by_brute_force(spark):
         assert [(*g[:3], g[4]) for g in got] == [(*e[:3], e[4]) for e in expected]
         assert all(abs(g[3] - e[3]) < 2e-6 for g, e in zip(got, expected))
     assert sum(map(len, want.values())) > 5
+
+
+def test_counts_of_ngrams_hash_rows_and_not_lambdas(spark, folder, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm import quality
+
+    kept, plans, keep = [], [], quality.stored
+
+    def note(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        kept.append(keep(df, label))
+        return kept[-1]
+
+    monkeypatch.setattr(quality, "stored", note)
+    docs = spark.createDataFrame([(1, "a b, a"), (2, "b"), (3, None), (4, "")], "doc_id long, text string")
+    quality.ngram_weights(docs, docs.where("doc_id = 1"), 10)
+    assert "lambda" not in plans[0]
+    # a b , a: four words and three pairs; b: one word. A last word has no pair.
+    two = F.col("__bucket") >= quality.BUCKETS
+    found = kept[0].groupBy(two.alias("two")).agg(F.sum("__all"), F.sum("__good")).collect()
+    assert sorted(tuple(r) for r in found) == [(False, 5, 4), (True, 3, 3)]

@@ -68,12 +68,16 @@ def tokens_of(text: Column) -> Column:
     return F.array_remove(F.split(spaced, SPACE, -1), "")
 
 
-def ngram_buckets(words: Column) -> Column:
-    """Buckets of an array of words: one for each word, and one for each pair of neighbours."""
-    after = F.slice(words, F.lit(2), F.size(words))
-    one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
-    two = F.zip_with(words, after, lambda w, x: F.pmod(F.xxhash64(w, x), F.lit(BUCKETS)).cast("int") + BUCKETS)
-    return F.concat(one, F.slice(two, F.lit(1), F.size(after)))  # the last word has no neighbour
+def neighbours(words: Column) -> Column:
+    """Each word ``w`` with the next one, ``x``; the last one's is null."""
+    return F.arrays_zip(words.alias("w"), F.slice(words, F.lit(2), F.size(words)).alias("x"))
+
+
+def ngram_buckets(pair: Column) -> tuple[Column, Column]:
+    """Buckets of a word and of it with its neighbour; the second is null without one."""
+    one = F.pmod(F.xxhash64(pair["w"]), F.lit(BUCKETS)).cast("int")
+    two = F.pmod(F.xxhash64(pair["w"], pair["x"]), F.lit(BUCKETS)).cast("int") + BUCKETS
+    return one, F.when(pair["x"].isNotNull(), two)
 
 
 def ngram_weights(
@@ -89,8 +93,10 @@ def ngram_weights(
     marked = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias(text_col))
     marked = marked.join(F.broadcast(ids), "__id", "left").select("__trusted", text_col)
     listed = marked.select("__trusted", tokens_of(F.col(text_col)).alias("__tokens"))
-    rows = listed.select("__trusted", F.explode(ngram_buckets(F.col("__tokens"))).alias("__bucket"))
-    counts = rows.groupBy("__bucket").agg(
+    # Rows and not lambdas: their hashes are in generated code.
+    pairs = listed.select("__trusted", F.explode(neighbours(F.col("__tokens"))).alias("__pair"))
+    rows = pairs.select("__trusted", F.explode(F.array(*ngram_buckets(F.col("__pair")))).alias("__bucket"))
+    counts = rows.where(F.col("__bucket").isNotNull()).groupBy("__bucket").agg(
         F.count(F.lit(1)).alias("__all"), F.count("__trusted").alias("__good")
     )
     counts = stored(counts, "ngram-counts")
@@ -133,10 +139,16 @@ def quality_rules(
     docs = docs.drop(*added)
     weights = F.broadcast(stored(ngram_weights(docs, trusted, max_trusted, id_col, text_col), "ngram-weights"))
     listed = docs.withColumns({"__words": words_of(F.col(text_col)), "__tokens": tokens_of(F.col(text_col))})
-    grams = listed.withColumn("__grams", ngram_buckets(F.col("__tokens"))).drop("__tokens").crossJoin(weights)
-    total = F.aggregate("__grams", F.lit(0).cast("long"), lambda a, g: a + F.get("__weights", g))
-    llr = F.when(F.size("__grams") > 0, total / F.size("__grams") / UNIT)
-    judged = with_symptoms(grams.withColumn("llr", llr).drop("__grams", "__weights"), text_col)
+    pairs = listed.withColumn("__pairs", neighbours(F.col("__tokens"))).drop("__tokens").crossJoin(weights)
+
+    def weight(pair: Column) -> Column:
+        one, two = ngram_buckets(pair)
+        return F.get("__weights", one) + F.coalesce(F.get("__weights", two), F.lit(0))
+
+    total = F.aggregate("__pairs", F.lit(0).cast("long"), lambda a, pair: a + weight(pair))
+    n_grams = 2 * F.size("__pairs") - 1  # of n words, and of n - 1 pairs
+    llr = F.when(F.size("__pairs") > 0, total / n_grams / UNIT)
+    judged = with_symptoms(pairs.withColumn("llr", llr).drop("__pairs", "__weights"), text_col)
     fine = F.coalesce(F.col("llr") >= threshold, F.lit(False))
     judged = judged.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(fine))
     return judged.select(*docs.columns, *added)
