@@ -338,3 +338,34 @@ def test_limited_batches_are_logged_without_a_shuffle(spark, folder, monkeypatch
     assert state.batch_report(spark, table).count() >= 4
     assert len(looked) == 1 and moved == []  # the table is made ready once, not for each batch
     assert rows(state.read_state(spark, table), "k") == [(k,) for k in sorted(range(40), key=str)]
+
+
+def test_limited_batches_have_few_fixed_costs(spark, folder, monkeypatch):
+    log, table = f"{folder}/log", StateTable(f"{folder}/t", ("k",), 4)
+    offsets, ways, looked = [], [], []
+    offset, merge, way = run.stream_offset, run.merge_once, run.CHECKPOINT_FILES
+    monkeypatch.setattr(run, "stream_offset", lambda *a: offsets.append(a) or offset(*a))
+    monkeypatch.setattr(run, "merge_once", lambda s, *a, **how: ways.append(s.conf.get(way, None)) or merge(s, *a, **how))
+    how = options(folder, max_rows_per_trigger=10, report=True)
+
+    def go(first):
+        write_changes(changes(spark, *[(k, "v", "INSERT", k) for k in range(first, first + 40)]), log, ["k"], 4, max_rows_per_file=5)
+        ways.clear(), offsets.clear()
+        run.run_changes(spark, log, BUSINESS, table, how).awaitTermination()
+        assert len(ways) >= 4 and len(offsets) == 1  # looked up once for a stream, not for each batch
+        assert rows(state.read_state(spark, table), "k") == [(k,) for k in sorted(range(first + 40), key=str)]
+        assert state.batch_report(spark, table).agg(F.sum("changes")).first()[0] == first + 40
+        return set(ways)
+
+    assert go(0) == {run.LOCAL_FILES} and spark.conf.get(way, None) is None
+    # The checkpoint is gone on with in Spark's usual way, which a session may ask for, and back again.
+    usual = run.LOCAL_FILES.replace("FileSystemBased", "FileContextBased")
+    spark.conf.set(way, usual)
+    try:
+        assert go(40) == {usual} and spark.conf.get(way) == usual
+    finally:
+        spark.conf.unset(way)
+    assert go(80) == {run.LOCAL_FILES}
+    # A checkpoint elsewhere is left to Spark.
+    monkeypatch.setattr(run, "is_local", lambda *a: looked.append(a[1]) or False)
+    assert go(120) == {None} and looked == [how.checkpoint]
